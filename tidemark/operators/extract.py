@@ -19,10 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schema import OBSERVATION, SERIES
+from tidemark.sources.local import local_rows, no_rows
 from tidemark.spec import CategorySpec, SeriesSpec, column_position
 
-# Above this many labels a mapping is joined without a broadcast hint.
-BROADCAST_LABELS = 100_000
+_LABEL_CODES = T.StructType(
+    [
+        T.StructField("_spec", T.IntegerType()),
+        T.StructField("_label", T.StringType()),
+        T.StructField("_code", T.StringType()),
+    ]
+)
 
 Spec = SeriesSpec | CategorySpec
 
@@ -134,7 +140,7 @@ def _extract(
 ) -> DataFrame:
     if not specs:
         schema = T.StructType([df.schema[c] for c in keep] + OBSERVATION.fields)
-        return df.sparkSession.createDataFrame([], schema)
+        return no_rows(df.sparkSession, schema)
 
     time_type = _common_type([cell_type(s.date_col) for s in specs])
     value_type = _common_type([cell_type(s.value_col) for s in specs])
@@ -176,26 +182,20 @@ def _extract(
 
 def _code_labels(long: DataFrame, specs: Sequence[Spec]) -> DataFrame:
     mapped = [
-        (number, label, spec.prefix, suffix)
+        {"_spec": number, "_label": label, "_code": f"{spec.prefix}_{suffix}"}
         for number, spec in enumerate(specs)
         if isinstance(spec, CategorySpec)
         for label, suffix in spec.mapping.items()
     ]
     plain = [n for n, s in enumerate(specs) if isinstance(s, SeriesSpec)]
-    codes = long.sparkSession.createDataFrame(
-        mapped, "_spec int, _label string, _prefix string, _suffix string"
-    )
-    if len(mapped) <= BROADCAST_LABELS:
-        codes = F.broadcast(codes)
-    labelled = (
-        long.where(~F.col("_spec").isin(plain)) if plain else long
-    ).join(codes, ["_spec", "_label"], "inner")
-    labelled = labelled.withColumn(SERIES, F.concat_ws("_", "_prefix", "_suffix"))
-    columns = [c for c in long.columns if c not in ("_spec", "_label")]
-    labelled = labelled.select(*columns)
+    # No hint: the mapping is a local relation, so Spark knows its size.
+    codes = local_rows(long.sparkSession, mapped, _LABEL_CODES)
+    columns = [name for name in long.columns if name not in ("_spec", "_label")]
+    labelled = long.drop(SERIES).join(codes, ["_spec", "_label"]).withColumnRenamed("_code", SERIES)
     if not plain:
-        return labelled
-    return labelled.unionByName(long.where(F.col("_spec").isin(plain)).select(*columns))
+        return labelled.select(*columns)
+    uncoded = long.where(F.col("_spec").isin(plain)).select(*columns)
+    return labelled.select(*columns).unionByName(uncoded)
 
 
 def _references(spec: Spec) -> list[str]:

@@ -46,7 +46,7 @@ def repair(
     escape_separator: bool = False,
     tolerance: int = ROW_TOLERANCE,
 ) -> bool:
-    """Rebuild if the check fails; returns whether it did."""
-    if check_consistency(store, tolerance).first().consistent:
+    """Rebuild if something is published and the check fails; returns whether it did."""
+    if store.current_manifest() is None or check_consistency(store, tolerance).first().consistent:
         return False
     return rebuild(store, zone, escape_separator)

@@ -102,6 +102,7 @@ MANIFEST = T.StructType(
                     T.StructField("min_obs_time", T.TimestampNTZType()),
                     T.StructField("max_obs_time", T.TimestampNTZType()),
                     T.StructField("event_schema", T.StringType()),
+                    T.StructField("table_schema", T.StringType()),
                 ]
             ),
         ),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schema import MANIFEST_JSON
+from tidemark.sources.local import no_rows
 from tidemark.sources.paths import path_exists
 
 _CORRUPT = "_corrupt_record"
@@ -33,7 +34,7 @@ def read_table(
 ) -> DataFrame:
     """A Parquet table, or an empty one of the same schema if the path is missing."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     reader = spark.read.schema(schema)
     if skip_unreadable:
         reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
@@ -43,7 +44,7 @@ def read_table(
 def read_manifest_json(spark: SparkSession, path: str) -> DataFrame:
     """Manifests in JSON form, one document per file; missing or corrupt ones give no row."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], MANIFEST_JSON)
+        return no_rows(spark, MANIFEST_JSON)
     marked = T.StructType([*MANIFEST_JSON.fields, T.StructField(_CORRUPT, T.StringType())])
     rows = (
         spark.read.schema(marked)

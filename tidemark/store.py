@@ -30,7 +30,8 @@ from tidemark import schema as S
 from tidemark.functions.labels import two_digits
 from tidemark.operators.delta import prune_index, rebuild_index
 from tidemark.operators.normalize import add_year_month
-from tidemark.sources.paths import has_entries, remove_path
+from tidemark.sources.local import local_rows, no_rows
+from tidemark.sources.paths import has_entries, path_exists, remove_path
 from tidemark.sources.tabular import read_table
 
 _LABEL = re.compile(r"^[0-9A-Za-z._-]+$")
@@ -112,22 +113,27 @@ class SeriesStore:
         source: Row | None,
         created_at: datetime,
     ) -> None:
-        row = (
-            self.dataset_id,
-            version,
-            created_at,
-            (source.sha256, source.file_count, source.size) if source else None,
-            (
-                self.path("events", f"version={version}"),
-                [tuple(m) for m in stats.months],
-                rows_total,
-                stats.rows,
-                stats.min_obs_time,
-                stats.max_obs_time,
-                event_schema.json(),
-            ),
-            (self.path("key_index"), list(key_columns), S.KEY_HASH),
-        )
+        row = {
+            "dataset_id": self.dataset_id,
+            "version": version,
+            "created_at": created_at,
+            "source": source.asDict() if source else None,
+            "outputs": {
+                "data_prefix": self.path("events", f"version={version}"),
+                "months": [m.asDict() for m in stats.months],
+                "rows_total": rows_total,
+                "rows_added_this_version": stats.rows,
+                "min_obs_time": stats.min_obs_time,
+                "max_obs_time": stats.max_obs_time,
+                "event_schema": event_schema.json(),
+                "table_schema": self._merged_schema(event_schema).json(),
+            },
+            "index": {
+                "path": self.path("key_index"),
+                "key_columns": list(key_columns),
+                "hash_column": S.KEY_HASH,
+            },
+        }
         self._append("manifests", [row], S.MANIFEST)
 
     # ---- events ----------------------------------------------------------------------
@@ -173,11 +179,16 @@ class SeriesStore:
         return VersionStats(sum(m["rows"] for m in months), tuple(months))
 
     def event_schema(self) -> T.StructType:
-        """Columns of all committed versions together, from the manifests."""
-        rows = self.manifests().select("outputs.event_schema").distinct().collect()
-        if not rows:
+        """Columns of all committed versions together, as the current manifest records them."""
+        manifest = self.current_manifest()
+        if manifest is None:
             return S.ENRICHED_EVENT
-        merged = S.merge_schemas([T.StructType.fromJson(json.loads(r[0])) for r in rows])
+        return T.StructType.fromJson(json.loads(manifest.outputs.table_schema))
+
+    def _merged_schema(self, added: T.StructType) -> T.StructType:
+        current = self.current_manifest()
+        before = [T.StructType.fromJson(json.loads(current.outputs.table_schema))] if current else []
+        merged = S.merge_schemas([*before, added])
         fixed = [f for f in S.ENRICHED_EVENT.fields if f.name in merged.names]
         return T.StructType(fixed + [f for f in merged.fields if f.name not in S.ENRICHED_EVENT.names])
 
@@ -196,7 +207,7 @@ class SeriesStore:
         manifest = self.manifests().where(F.col("version") == version)
         rows = manifest.select("outputs.event_schema").collect()
         if not rows:
-            return self.spark.createDataFrame([], _with_partitions(self.event_schema()))
+            return no_rows(self.spark, _with_partitions(self.event_schema()))
         return self._read_events(version, T.StructType.fromJson(json.loads(rows[0][0])))
 
     def undated_events(self) -> DataFrame:
@@ -210,7 +221,7 @@ class SeriesStore:
         full = _with_partitions(body)
         target = f"{table}/version={version}"
         if not has_entries(self.spark, target):
-            return self.spark.createDataFrame([], full)
+            return no_rows(self.spark, full)
         read = T.StructType([f for f in full.fields if not (undated and f.name in ("year", "month"))])
         rows = self.spark.read.schema(read).option("basePath", table).parquet(target)
         if undated:
@@ -220,6 +231,8 @@ class SeriesStore:
     # ---- key index -------------------------------------------------------------------
 
     def index_generation(self) -> int:
+        if not path_exists(self.spark, self.path("index_generations")):
+            return 0
         table = read_table(self.spark, self.path("index_generations"), S.INDEX_GENERATION)
         return table.agg(F.max("generation")).first()[0] or 0
 
@@ -260,7 +273,8 @@ class SeriesStore:
         return self.spark.read.schema(written).parquet(target).count()
 
     def append_generation(self, generation: int, version: str) -> None:
-        self._append("index_generations", [(generation, version, _now())], S.INDEX_GENERATION)
+        row = {"generation": generation, "built_at_version": version, "stamp": _now()}
+        self._append("index_generations", [row], S.INDEX_GENERATION)
 
     # ---- source files ----------------------------------------------------------------
 
@@ -270,7 +284,7 @@ class SeriesStore:
 
     def source_files(self, version: str | None) -> DataFrame:
         if version is None:
-            return self.spark.createDataFrame([], S.SOURCE_FILE)
+            return no_rows(self.spark, S.SOURCE_FILE)
         return read_table(self.spark, self.path("source_files", f"version={version}"), S.SOURCE_FILE)
 
     # ---- projections -----------------------------------------------------------------
@@ -296,7 +310,8 @@ class SeriesStore:
         self, months: Sequence[Month], status: str, stamp: datetime | None = None
     ) -> None:
         if months:
-            rows = [(self.dataset_id, y, m, status, stamp or _now()) for y, m in months]
+            common = {"dataset_id": self.dataset_id, "status": status, "stamp": stamp or _now()}
+            rows = [{**common, "year": year, "month": month} for year, month in months]
             self._append("month_status", rows, S.MONTH_STATUS)
 
     def month_status_log(self) -> DataFrame:
@@ -314,18 +329,18 @@ class SeriesStore:
     def _discard_events(self, version: str) -> None:
         if not _LABEL.match(version):
             raise ValueError(f"not a version label: {version!r}")
-        if self.committed().where(F.col("version") == version).limit(1).count():
-            raise ValueError(f"version {version} is already published")
         for table in ("events", "events_undated"):
-            remove_path(self.spark, self.path(table, f"version={version}"))
+            target = self.path(table, f"version={version}")
+            if path_exists(self.spark, target):
+                if self.committed().where(F.col("version") == version).limit(1).count():
+                    raise ValueError(f"version {version} is already published")
+                remove_path(self.spark, target)
 
     def _committed_only(self, rows: DataFrame) -> DataFrame:
         return rows.join(self.committed(), "version", "left_semi").select(*rows.columns)
 
-    def _append(self, table: str, rows: list[tuple], schema: T.StructType) -> None:
-        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(
-            self.path(table)
-        )
+    def _append(self, table: str, rows: list[dict], schema: T.StructType) -> None:
+        local_rows(self.spark, rows, schema).coalesce(1).write.mode("append").parquet(self.path(table))
 
 
 def latest_month_status(log: DataFrame) -> DataFrame:
