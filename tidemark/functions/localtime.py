@@ -37,34 +37,36 @@ def wall_of_instant(instant: Column, zone: str) -> Column:
 
 
 def localize(wall: Column, zone: str, on_bad_local_time: str = "raise") -> Column:
-    """UTC wall clock of ``wall``, with a choice for times a clock change skips or repeats.
+    """UTC wall clock of ``wall``, with a choice for times a clock change skips or repeats."""
+    return utc_of(checked_wall(wall, zone, on_bad_local_time), zone)
 
-    The offsets a day to either side give the two candidate instants. A wall clock is
-    skipped when neither candidate shows it again, and repeated when two different
-    candidates both do; this holds for a clock change of any size.
-    """
+
+def checked_wall(wall: Column, zone: str, on_bad_local_time: str = "raise") -> Column:
+    """``wall`` where it names one instant; otherwise an error, null, or ``wall`` (shift)."""
     if on_bad_local_time not in BAD_LOCAL_TIME_MODES:
         raise ValueError(f"on_bad_local_time must be one of {BAD_LOCAL_TIME_MODES}")
-    plain = utc_of(wall, zone)
     if on_bad_local_time == "shift" or not has_transitions(zone):
-        return plain
+        return wall
     bad = is_bad_local_time(wall, zone)
     if on_bad_local_time == "null":
-        return F.when(~bad, plain)
+        return F.when(~bad, wall)
     message = F.concat(F.lit(f"no unique {zone} time for "), wall.cast("string"))
-    return F.when(bad, F.raise_error(message).cast("timestamp_ntz")).otherwise(plain)
+    return F.when(bad, F.raise_error(message).cast("timestamp_ntz")).otherwise(wall)
 
 
 def is_bad_local_time(wall: Column, zone: str) -> Column:
+    """Whether a clock change skips or repeats a wall clock, for a change of any size.
+
+    The offsets a day to either side give two candidate instants. A wall clock is skipped
+    when neither candidate shows it again, and repeated when two different ones do. Where
+    both offsets agree, nearly everywhere, the rest is not evaluated.
+    """
     day = F.expr("INTERVAL '1' DAY")
-    earlier, later = wall - day, wall + day
-    by_earlier_offset = wall - (wall_of(earlier, zone) - earlier)
-    by_later_offset = wall - (wall_of(later, zone) - later)
-    shown_by_earlier = wall_of(by_earlier_offset, zone) == wall
-    shown_by_later = wall_of(by_later_offset, zone) == wall
-    skipped = ~shown_by_earlier & ~shown_by_later
-    repeated = shown_by_earlier & shown_by_later & (by_earlier_offset != by_later_offset)
-    return skipped | repeated
+    offset_before = wall_of(wall - day, zone) - (wall - day)
+    offset_after = wall_of(wall + day, zone) - (wall + day)
+    shown_by_before = wall_of(wall - offset_before, zone) == wall
+    shown_by_after = wall_of(wall - offset_after, zone) == wall
+    return (offset_before != offset_after) & (shown_by_before == shown_by_after)
 
 
 def offset_text(wall: Column, zone: str) -> Column:

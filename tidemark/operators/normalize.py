@@ -39,13 +39,11 @@ def localize(
     The wall clock stays in ``column``; ``utc_column`` adds the instant. Wall clocks a
     clock change skips or repeats fail the job, become null, or shift, as chosen.
     """
-    wall = F.col(column)
+    checked = localtime.checked_wall(F.col(column), zone, on_bad_local_time)
+    df = df.withColumn(column, checked)
     if utc_column:
-        df = df.withColumn(utc_column, localtime.localize(wall, zone, on_bad_local_time))
-    if on_bad_local_time == "shift" or not localtime.has_transitions(zone):
-        return df
-    checked = localtime.localize(wall, zone, on_bad_local_time)
-    return df.withColumn(column, F.when(checked.isNotNull(), wall))
+        df = df.withColumn(utc_column, localtime.utc_of(F.col(column), zone))
+    return df
 
 
 def normalize(

@@ -23,14 +23,14 @@ def rebuild(
     Returns False if nothing is published.
     """
     manifest = store.current_manifest()
-    if manifest is None or not manifest.index or not manifest.index.key_columns:
+    if manifest is None or not manifest["index"] or not manifest["index"].key_columns:
         return False
     generation = store.index_generation() + 1
     events = store.events().where(F.col("version") <= manifest.version)
     store.write_index(
         manifest.version,
         events,
-        manifest.index.key_columns,
+        manifest["index"].key_columns,
         zone,
         escape_separator,
         known=None,
