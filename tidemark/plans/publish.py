@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 
 from tidemark.operators.fingerprint import combined_fingerprint
-from tidemark.store import Month, SeriesStore
+from tidemark.store import Month, SeriesStore, check_label
 
 
 @dataclass(frozen=True)
@@ -44,6 +44,7 @@ def publish(
     Nothing is visible until the manifest row is written, as the last step. A failure
     before that removes what this call wrote and is raised again.
     """
+    check_label(version)
     current = store.current_manifest()
     current_version = current.version if current else None
     if current_version != expected_current:

@@ -9,7 +9,7 @@ from tidemark.operators.fingerprint import fingerprint
 
 
 def read_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
-    """One row ``(path, modificationTime, length, content)`` per file."""
+    """One row ``(path, modificationTime, length, content)`` per file that is not empty."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)

@@ -327,8 +327,7 @@ class SeriesStore:
         remove_path(self.spark, self.path("source_files", f"version={version}"))
 
     def _discard_events(self, version: str) -> None:
-        if not _LABEL.match(version):
-            raise ValueError(f"not a version label: {version!r}")
+        check_label(version)
         for table in ("events", "events_undated"):
             target = self.path(table, f"version={version}")
             if path_exists(self.spark, target):
@@ -343,6 +342,12 @@ class SeriesStore:
         local_rows(self.spark, rows, schema).coalesce(1).write.mode("append").parquet(self.path(table))
 
 
+def check_label(version: str) -> None:
+    """A version label becomes a directory name, so it may hold no path characters."""
+    if not _LABEL.match(version):
+        raise ValueError(f"not a version label: {version!r}")
+
+
 def latest_month_status(log: DataFrame) -> DataFrame:
     """Last status of each month; of two with one time stamp, ``completed`` counts."""
     order = F.struct("stamp", F.col("status") == COMPLETED)
