@@ -53,13 +53,30 @@ def normalize(
     on_bad_local_time: str = "raise",
 ) -> DataFrame:
     """Coerce times and numbers, check local times, drop rows missing either field."""
+    required = [name for name in ("obs_time", "value") if name in df.columns]
     if "obs_time" in df.columns:
         df = coerce_dates(df, "obs_time", formats, zone)
     if "value" in df.columns:
         df = coerce_numbers(df, "value")
+    df = drop_missing(_computed_once(df, required), required)
     if zone and "obs_time" in df.columns:
-        df = localize(df, zone, "obs_time", on_bad_local_time)
-    return drop_missing(df, [c for c in ("obs_time", "value") if c in df.columns])
+        # A condition instead of a new column: rows that pass keep their time as it is.
+        checked = localtime.checked_wall(F.col("obs_time"), zone, on_bad_local_time)
+        df = df.where(checked.isNotNull())
+    return df
+
+
+def _computed_once(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Pass columns through a generator.
+
+    Filters on a plain projection are pushed below it, which would parse every text again
+    for each place a filter or key uses the parsed value. They stop at a generator.
+    """
+    if not names:
+        return df
+    others = [name for name in df.columns if name not in names]
+    once = df.select(*others, F.inline(F.array(F.struct(*names))))
+    return once.select(*df.columns)
 
 
 def add_year_month(

@@ -12,7 +12,9 @@ import re
 import zipfile
 from collections.abc import Iterable, Iterator
 from datetime import datetime, timedelta
+from functools import lru_cache
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +25,12 @@ from tidemark.schema import SHEET_ROW
 from tidemark.sources.snapshots import read_files
 
 ROWS_PER_BATCH = 8192
+CHUNK_BYTES = 1 << 16
 
 # Fixed values of the file format: XML names, built-in date formats, the two day zeros.
-MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+NAMESPACE = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+MAIN = f"{{{NAMESPACE}}}"
+ROW, CELL, VALUE, TEXT, PHONETIC = (f"{NAMESPACE}}}{tag}" for tag in ("row", "c", "v", "t", "rPh"))
 RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 DATE_FORMAT_IDS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
 DAY_ZERO = datetime(1899, 12, 30)
@@ -158,37 +163,77 @@ def _is_date_format(code: str) -> bool:
 def _sheet(
     stream, strings: list[str], date_styles: frozenset[int], day_zero: datetime
 ) -> Iterator[tuple[int, list[str | None]]]:
-    next_row = 0
-    for _, node in ElementTree.iterparse(stream):
-        if node.tag != f"{MAIN}row":
-            continue
-        row_idx = int(node.get("r")) - 1 if node.get("r") else next_row
-        next_row = row_idx + 1
-        cells: list[str | None] = []
-        for cell in node.findall(f"{MAIN}c"):
-            reference = cell.get("r")
-            position = column_index(reference.rstrip("0123456789")) if reference else len(cells)
-            cells.extend([None] * (position + 1 - len(cells)))
-            cells[position] = _value(cell, strings, date_styles, day_zero)
-        node.clear()
-        yield row_idx, cells
-
-
-def _value(
-    cell: ElementTree.Element, strings: list[str], date_styles: frozenset[int], day_zero: datetime
-) -> str | None:
-    kind = cell.get("t", "n")
-    if kind == "inlineStr":
-        inline = cell.find(f"{MAIN}is")
-        return None if inline is None else _text(inline)
-    text = cell.findtext(f"{MAIN}v")
-    if text is None or kind == "e":
-        return None
-    if kind == "s":
-        return strings[int(text)]
-    if kind == "b":
-        return "True" if text == "1" else "False"
-    if kind == "n" and int(cell.get("s") or 0) in date_styles:
-        moment = day_zero + timedelta(milliseconds=round(float(text) * 86_400_000))
-        return moment.isoformat(sep=" ")
-    return text
+    sheet = _SheetParser(strings, date_styles, day_zero)
+    while chunk := stream.read(CHUNK_BYTES):
+        sheet.parser.Parse(chunk, False)
+        yield from sheet.finished
+        sheet.finished.clear()
+    sheet.parser.Parse(b"", True)
+    yield from sheet.finished
+
+
+class _SheetParser:
+    """Event handlers of one sheet; holds the current row and the rows just finished."""
+
+    def __init__(self, strings: list[str], date_styles: frozenset[int], day_zero: datetime):
+        self.strings, self.date_styles, self.day_zero = strings, date_styles, day_zero
+        self.finished: list[tuple[int, list[str | None]]] = []
+        self.row_idx = -1
+        self.cells: list[str | None] = []
+        self.text: list[str] = []
+        self.phonetic = False
+        self.parser = expat.ParserCreate(namespace_separator="}")
+        self.parser.buffer_text = True
+        self.parser.StartElementHandler = self._start
+        self.parser.EndElementHandler = self._end
+
+    def _start(self, name: str, attributes: dict[str, str]) -> None:
+        if name == CELL:
+            reference = attributes.get("r")
+            self.position = _position(reference) if reference else len(self.cells)
+            self.kind = attributes.get("t", "n")
+            self.style = int(attributes.get("s", 0))
+            self.text = []
+        elif name == VALUE or (name == TEXT and not self.phonetic):
+            self.parser.CharacterDataHandler = self.text.append
+        elif name == ROW:
+            number = attributes.get("r")
+            self.row_idx = int(number) - 1 if number else self.row_idx + 1
+            self.cells = []
+        elif name == PHONETIC:
+            self.phonetic = True
+
+    def _end(self, name: str) -> None:
+        if name == VALUE or name == TEXT:
+            self.parser.CharacterDataHandler = None
+        elif name == CELL:
+            cells = self.cells
+            if self.position >= len(cells):
+                cells.extend([None] * (self.position + 1 - len(cells)))
+            cells[self.position] = self._value("".join(self.text)) if self.text else None
+        elif name == ROW:
+            self.finished.append((self.row_idx, self.cells))
+        elif name == PHONETIC:
+            self.phonetic = False
+
+    def _value(self, text: str) -> str | None:
+        kind = self.kind
+        if kind == "n":
+            if self.style in self.date_styles:
+                days = timedelta(milliseconds=round(float(text) * 86_400_000))
+                return (self.day_zero + days).isoformat(sep=" ")
+            return text
+        if kind == "s":
+            return self.strings[int(text)]
+        if kind == "b":
+            return "True" if text == "1" else "False"
+        return None if kind == "e" else text
+
+
+@lru_cache(maxsize=None)
+def _column(letters: str) -> int:
+    return column_index(letters)
+
+
+def _position(reference: str) -> int:
+    return _column(reference.rstrip("0123456789"))

@@ -14,7 +14,7 @@ from workloads.registry import query
 from workloads.views import (
     ORDER_KEYS,
     event_observations,
-    exact_sum,
+    cents,
     line_observations,
     order_observations,
     order_snapshot,
@@ -165,12 +165,12 @@ def series_count(spark, sf_dir):
 
 
 @query(
-    f"""WITH {q.OBS_O} SELECT year, month, COUNT(*) AS n, {q.exact_sum('value')} AS total FROM obs_o
+    f"""WITH {q.OBS_O} SELECT year, month, COUNT(*) AS n, {q.cents('value')} AS total_cents FROM obs_o
     GROUP BY ALL"""
 )
 def rows_per_month(spark, sf_dir):
     rows = add_year_month(order_observations(spark, sf_dir))
-    return rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total"))
+    return rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"), cents("value").alias("total_cents"))
 
 
 @query(f"WITH {q.OBS_O} SELECT DISTINCT year, month FROM obs_o ORDER BY year, month")

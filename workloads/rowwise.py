@@ -22,7 +22,7 @@ from workloads.views import (
     ZONE,
     dirty_observations,
     event_observations,
-    exact_sum,
+    cents,
     order_observations,
     order_snapshot,
     scratch,
@@ -128,22 +128,23 @@ _LONG_LINES = " UNION ALL ".join(
     for spec, column in zip(LINE_SERIES, LINE_COLUMNS[1:])
 )
 _DAILY = f"""SELECT internal_series_code, unit, {q.time_text('obs_time')} AS obs_time, COUNT(*) AS n,
-    MIN(value) AS lowest, MAX(value) AS highest, {q.exact_sum('value')} AS total
+    MIN(value) AS lowest, MAX(value) AS highest, {q.cents('value')} AS total_cents
     FROM ({_LONG_LINES}) GROUP BY ALL"""
 
 
 def _daily(long: DataFrame) -> DataFrame:
-    return long.groupBy("internal_series_code", "unit", time_text("obs_time").alias("obs_time")).agg(
+    days = long.groupBy("internal_series_code", "unit", "obs_time").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("value").alias("lowest"),
         F.max("value").alias("highest"),
-        exact_sum("value").alias("total"),
+        cents("value").alias("total_cents"),
     )
+    return days.withColumn("obs_time", time_text("obs_time"))
 
 
 @query(
     f"""SELECT internal_series_code, unit, {q.time_text('obs_time')} AS obs_time, COUNT(*) AS n,
-    MIN(value) AS lowest, MAX(value) AS highest, {q.exact_sum('value')} AS total
+    MIN(value) AS lowest, MAX(value) AS highest, {q.cents('value')} AS total_cents
     FROM ({_LONG_LINES}) WHERE internal_series_code = 'PRICE' GROUP BY ALL"""
 )
 def extract_series_wide(spark, sf_dir):
@@ -159,10 +160,9 @@ def extract_series_multi(spark, sf_dir):
 def extract_from_cells(spark, sf_dir):
     """The same from loose cells, one table row per sheet row."""
     lines = table(spark, sf_dir, "lineitem")
-    keys = ("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
     texts = F.array(*[F.col(c).cast("string") for c in LINE_COLUMNS])
     cells = lines.select(
-        F.concat_ws("-", *keys).alias("path"),
+        F.hex(F.xxhash64(*lines.columns)).alias("path"),
         F.lit("items").alias("sheet"),
         F.col("l_linenumber").alias("row_idx"),
         F.posexplode(texts).alias("col_idx", "value"),

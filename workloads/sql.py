@@ -9,8 +9,8 @@ def time_text(expression: str) -> str:
     return f"strftime({expression}, '%Y-%m-%d %H:%M:%S')"
 
 
-def exact_sum(expression: str) -> str:
-    return f"CAST(SUM(CAST({expression} AS DECIMAL(18,2))) AS DOUBLE)"
+def cents(expression: str) -> str:
+    return f"CAST(SUM(CAST(round({expression} * 100) AS BIGINT)) AS BIGINT)"
 
 
 VERSION = (

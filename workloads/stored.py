@@ -21,7 +21,7 @@ from workloads.views import (
     VERSIONS,
     ZONE,
     build_order_store,
-    exact_sum,
+    cents,
     order_observations,
     order_snapshot,
     order_store,
@@ -216,14 +216,14 @@ def repair_index(spark, sf_dir):
 
 # ---- writes ------------------------------------------------------------------------------
 
-_BY_MONTH = f"""WITH {q.OBS_O} SELECT year, month, COUNT(*) AS n, {q.exact_sum('value')} AS total,
+_BY_MONTH = f"""WITH {q.OBS_O} SELECT year, month, COUNT(*) AS n, {q.cents('value')} AS total_cents,
     MIN(order_key) AS first_order, MAX(order_key) AS last_order FROM obs_o GROUP BY year, month"""
 
 
 def _by_month(rows: DataFrame) -> DataFrame:
     return rows.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("n"),
-        exact_sum("value").alias("total"),
+        cents("value").alias("total_cents"),
         F.min("order_key").alias("first_order"),
         F.max("order_key").alias("last_order"),
     )
@@ -269,7 +269,7 @@ def publish_two_versions(spark, sf_dir):
 
 
 @query(
-    f"""WITH {q.OBS_O} SELECT version, COUNT(*) AS n, {q.exact_sum('value')} AS total FROM obs_o
+    f"""WITH {q.OBS_O} SELECT version, COUNT(*) AS n, {q.cents('value')} AS total_cents FROM obs_o
     GROUP BY version"""
 )
 def version_from_path(spark, sf_dir):
@@ -283,7 +283,7 @@ def version_from_path(spark, sf_dir):
     return (
         files.withColumn("version", version_of_path(F.col("_metadata.file_path")))
         .groupBy("version")
-        .agg(F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total"))
+        .agg(F.count(F.lit(1)).alias("n"), cents("value").alias("total_cents"))
     )
 
 
@@ -294,7 +294,7 @@ def ingest_snapshots(spark, sf_dir):
 
 
 @query(
-    f"""WITH {q.OBS_O} SELECT COUNT(*) AS n, {q.exact_sum('value')} AS total,
+    f"""WITH {q.OBS_O} SELECT COUNT(*) AS n, {q.cents('value')} AS total_cents,
         COUNT(DISTINCT {q.STORED_HASH.replace('o_orderdate', 'obs_time').replace('o_orderkey', 'order_key')}) AS keys
     FROM obs_o"""
 )
@@ -314,5 +314,5 @@ def streamed_ingest(spark, sf_dir):
     store = SeriesStore(spark, f"{root}/store", "orders")
     keys = store.index().agg(F.count(F.lit(1)).alias("keys"))
     return store.projections().agg(
-        F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total")
+        F.count(F.lit(1)).alias("n"), cents("value").alias("total_cents")
     ).select("*", keys.scalar().alias("keys"))

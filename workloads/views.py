@@ -121,6 +121,6 @@ def time_text(name: str):
     return F.col(name).cast("string")
 
 
-def exact_sum(name: str):
-    """Sum of a two-decimal amount that does not depend on the order of addition."""
-    return F.sum(F.col(name).cast("decimal(18,2)")).cast("double")
+def cents(name: str):
+    """Sum of a two-decimal amount in whole cents, so the order of addition is no matter."""
+    return F.sum(F.round(F.col(name) * 100).cast("bigint"))
