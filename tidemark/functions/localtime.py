@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NO_TRANSITIONS = re.compile(r"^(UTC|GMT|Z|Etc/\S+|[+-]\d{2}:\d{2})$")
+DAY_SECONDS = 86_400
 BAD_LOCAL_TIME_MODES = ("raise", "null", "shift")
 
 
@@ -61,22 +62,19 @@ def is_bad_local_time(wall: Column, zone: str) -> Column:
     when neither candidate shows it again, and repeated when two different ones do. Where
     both offsets agree, nearly everywhere, the rest is not evaluated.
     """
-    day = F.expr("INTERVAL '1' DAY")
-    offset_before = wall_of(wall - day, zone) - (wall - day)
-    offset_after = wall_of(wall + day, zone) - (wall + day)
-    shown_by_before = wall_of(wall - offset_before, zone) == wall
-    shown_by_after = wall_of(wall - offset_after, zone) == wall
-    return (offset_before != offset_after) & (shown_by_before == shown_by_after)
+    seconds = _seconds(wall)
+    before = _offset_at(seconds - DAY_SECONDS, zone)
+    after = _offset_at(seconds + DAY_SECONDS, zone)
+    shown_by_before = _offset_at(seconds - before, zone) == before
+    shown_by_after = _offset_at(seconds - after, zone) == after
+    return (before != after) & (shown_by_before == shown_by_after)
 
 
 def offset_text(wall: Column, zone: str) -> Column:
     """UTC offset of a wall clock, as ``-03:00``."""
-    gap = wall - utc_of(wall, zone)
-    minutes = (
-        F.extract(F.lit("DAY"), gap) * 1440
-        + F.extract(F.lit("HOUR"), gap) * 60
-        + F.extract(F.lit("MINUTE"), gap)
-    ).cast("int")
+    seconds = _seconds(wall)
+    utc = F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(seconds), zone))
+    minutes = F.floor((seconds - utc) / 60).cast("int")
     size = F.abs(minutes)
     return F.concat(
         F.when(minutes < 0, "-").otherwise("+"),
@@ -84,3 +82,19 @@ def offset_text(wall: Column, zone: str) -> Column:
         F.lit(":"),
         F.lpad((size % 60).cast("string"), 2, "0"),
     )
+
+
+def _seconds(wall: Column) -> Column:
+    """Whole seconds from 1970-01-01 00:00 to a wall clock, both without a zone."""
+    time_of_day = F.hour(wall) * 3600 + F.minute(wall) * 60 + F.second(wall)
+    return F.unix_date(F.to_date(wall)).cast("bigint") * DAY_SECONDS + time_of_day
+
+
+def _offset_at(utc_seconds: Column, zone: str) -> Column:
+    """Seconds ``zone`` is ahead of UTC at an instant.
+
+    In whole epoch seconds, where ``from_utc_timestamp`` with a constant zone looks the
+    zone up once per task; ``convert_timezone`` looks it up for every row.
+    """
+    shown = F.from_utc_timestamp(F.timestamp_seconds(utc_seconds), zone)
+    return F.unix_seconds(shown) - utc_seconds

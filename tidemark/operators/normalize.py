@@ -58,19 +58,17 @@ def normalize(
         df = coerce_dates(df, "obs_time", formats, zone)
     if "value" in df.columns:
         df = coerce_numbers(df, "value")
-    df = drop_missing(_computed_once(df, required), required)
     if zone and "obs_time" in df.columns:
-        # A condition instead of a new column: rows that pass keep their time as it is.
-        checked = localtime.checked_wall(F.col("obs_time"), zone, on_bad_local_time)
-        df = df.where(checked.isNotNull())
-    return df
+        df = localize(df, zone, "obs_time", on_bad_local_time)
+    return drop_missing(_computed_once(df, required), required)
 
 
 def _computed_once(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pass columns through a generator.
 
-    Filters on a plain projection are pushed below it, which would parse every text again
-    for each place a filter or key uses the parsed value. They stop at a generator.
+    A filter on a plain projection is pushed below it and repeats its expressions, and
+    filters share no common subexpressions: every text would be parsed again for each
+    place the parsed value is used. A filter stops at a generator.
     """
     if not names:
         return df
