@@ -185,8 +185,9 @@ def test_reads(spark, root):
     assert index[(2024, 2)] == ([V1, V2], 2) and index[(2024, 3)] == ([V1], 1)
     with pytest.raises(ValueError, match="year and month"):
         reads.read_month(store, 2024, None)
-    plan = reads.events_for_month(store, 2024, 2)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan and "(month" in plan.split("PartitionFilters")[1]
+    plan = reads.events_for_month(store, 2024, 2)._jdf.queryExecution().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "isnotnull(year" in filters and "isnotnull(month" in filters and "isnotnull(version" in filters
 
 
 @pytest.mark.parametrize("name, written", [("a.csv", "a.csv"), ("b.parquet", "b.parquet"), ("c.bin", "c.bin.csv")])
@@ -267,3 +268,26 @@ def test_random_snapshots_keep_the_invariants(spark, root):
     assert set(map(tuple, history.collect())) == keys
     stored = sorted_rows(store.index().select("key_hash"))
     assert rebuild(store) and sorted_rows(store.index().select("key_hash")) == stored
+
+
+def test_leftovers_of_failed_runs_stay_hidden_after_later_versions(spark, root):
+    store = SeriesStore(spark, root, "d")
+    put(store, months_frame(spark), V1)
+    left = observations(spark, [("2024-05-01", "A", 1.0)])
+    store.write_events(V2, left)
+    store.write_index(V2, store.read_written(V2, left.schema), KEYS, None, False, None)
+    put(store, observations(spark, [("2024-06-01", "A", 1.0)]), V3, V1)
+    assert store.versions() == [V1, V3]
+    assert store.events().count() == store.index().count() == 4
+    assert reads.last_n_versions(store, 1).count() == 1
+    assert reads.last_n_versions(store, 5).count() == 4 and reads.last_n_versions(store, 0).count() == 0
+    plan = store.events()._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_reads_of_an_empty_store(spark, root):
+    store = SeriesStore(spark, root, "d")
+    for rows in (store.events(), store.index(), store.projections(), store.undated_events(), store.manifests()):
+        assert rows.count() == 0
+    assert store.current_version() is None and reads.last_n_versions(store, 3).count() == 0
+    assert check_consistency(store).first().reason == "nothing published"

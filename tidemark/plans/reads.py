@@ -65,9 +65,8 @@ def full_history(store: SeriesStore) -> DataFrame:
 
 
 def last_n_versions(store: SeriesStore, n: int) -> DataFrame:
-    latest = store.manifests().select("version").orderBy(F.col("version").desc()).limit(n)
-    events = store.events()
-    return events.join(latest, "version", "left_semi").select(*events.columns)
+    oldest = store.versions()[-n:][:1] if n > 0 else []
+    return store.events().where(F.col("version") >= oldest[0] if oldest else F.lit(False))
 
 
 def version_delta(store: SeriesStore, version: str) -> DataFrame:

@@ -18,12 +18,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(target)
 
 
-def has_entries(spark: SparkSession, path: str) -> bool:
-    """Whether a written table directory holds anything but the commit marker."""
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of visible entries of a directory; none if it is missing."""
     file_system, target = _file_system(spark, path)
     if not file_system.exists(target):
-        return False
-    return any(not s.getPath().getName().startswith("_") for s in file_system.listStatus(target))
+        return []
+    names = [status.getPath().getName() for status in file_system.listStatus(target)]
+    return [name for name in names if not name.startswith(("_", "."))]
+
+
+def has_entries(spark: SparkSession, path: str) -> bool:
+    """Whether a written table directory holds anything but the commit marker."""
+    return bool(child_names(spark, path))
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

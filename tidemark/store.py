@@ -10,7 +10,9 @@
     month_status/                              log of month rebuilds
 
 Every reader of events and index keeps only versions that have a manifest row, so what a
-failed run leaves behind is never seen. One writer per dataset is assumed.
+failed run leaves behind is never seen. The driver compares version labels, one per run,
+with directory names, and the scan gets a plain partition filter: no join over the rows.
+One writer per dataset is assumed, and labels only grow.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +33,7 @@ from tidemark.functions.labels import two_digits
 from tidemark.operators.delta import prune_index, rebuild_index
 from tidemark.operators.normalize import add_year_month
 from tidemark.sources.local import local_rows, no_rows
-from tidemark.sources.paths import has_entries, path_exists, remove_path
+from tidemark.sources.paths import child_names, has_entries, path_exists, remove_path
 from tidemark.sources.tabular import read_table
 
 _LABEL = re.compile(r"^[0-9A-Za-z._-]+$")
@@ -76,8 +78,9 @@ class SeriesStore:
     def manifests(self) -> DataFrame:
         return read_table(self.spark, self.path("manifests"), S.MANIFEST)
 
-    def committed(self) -> DataFrame:
-        return self.manifests().select("version")
+    def versions(self) -> list[str]:
+        """Committed version labels, oldest first; one short text per run."""
+        return sorted(row.version for row in self.manifests().select("version").collect())
 
     def current_manifest(self) -> Row | None:
         rows = self.manifests().orderBy(F.col("version").desc()).limit(1).collect()
@@ -199,8 +202,9 @@ class SeriesStore:
         """
         body = self.event_schema()
         full = _with_partitions(body)
-        rows = read_table(self.spark, self.path("events"), full, skip_unreadable)
-        return self._committed_only(rows).select(*full.names)
+        target = self.path("events")
+        rows = read_table(self.spark, target, full, skip_unreadable)
+        return rows.where(self._is_committed(target)).select(*full.names)
 
     def events_of(self, version: str) -> DataFrame:
         """Rows one committed version added; reads that version's directory alone."""
@@ -213,7 +217,8 @@ class SeriesStore:
     def undated_events(self) -> DataFrame:
         body = self.event_schema()
         full = T.StructType([f for f in body.fields if f.name != "version"]).add("version", "string")
-        return self._committed_only(read_table(self.spark, self.path("events_undated"), full))
+        target = self.path("events_undated")
+        return read_table(self.spark, target, full).where(self._is_committed(target))
 
     def _read_events(self, version: str, body: T.StructType) -> DataFrame:
         undated = S.find_date_column(body.names) is None
@@ -239,8 +244,8 @@ class SeriesStore:
     def index(self, since: datetime | None = None) -> DataFrame:
         """Hashes of committed versions; with ``since`` only of that month and later."""
         target = self.path("key_index", f"generation={self.index_generation()}")
-        rows = read_table(self.spark, target, S.KEY_INDEX)
-        return self._committed_only(prune_index(rows, since))
+        rows = read_table(self.spark, target, S.KEY_INDEX).where(self._is_committed(target))
+        return prune_index(rows, since)
 
     def write_index(
         self,
@@ -331,12 +336,23 @@ class SeriesStore:
         for table in ("events", "events_undated"):
             target = self.path(table, f"version={version}")
             if path_exists(self.spark, target):
-                if self.committed().where(F.col("version") == version).limit(1).count():
+                if version in self.versions():
                     raise ValueError(f"version {version} is already published")
                 remove_path(self.spark, target)
 
-    def _committed_only(self, rows: DataFrame) -> DataFrame:
-        return rows.join(self.committed(), "version", "left_semi").select(*rows.columns)
+    def _is_committed(self, target: str) -> Column:
+        """Partition filter for the versions under ``target`` that have a manifest row.
+
+        A version being written meanwhile is later than the current one, so the upper
+        bound hides it; what failed runs left below that bound is excluded by name.
+        """
+        committed = self.versions()
+        if not committed:
+            return F.lit(False)
+        found = {name.removeprefix("version=") for name in child_names(self.spark, target)}
+        leftovers = sorted(v for v in found.difference(committed) if v < committed[-1])
+        seen = F.col("version") <= committed[-1]
+        return seen & ~F.col("version").isin(leftovers) if leftovers else seen
 
     def _append(self, table: str, rows: list[dict], schema: T.StructType) -> None:
         local_rows(self.spark, rows, schema).coalesce(1).write.mode("append").parquet(self.path(table))
