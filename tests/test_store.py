@@ -291,3 +291,17 @@ def test_reads_of_an_empty_store(spark, root):
         assert rows.count() == 0
     assert store.current_version() is None and reads.last_n_versions(store, 3).count() == 0
     assert check_consistency(store).first().reason == "nothing published"
+
+
+def test_unique_keys_skip_the_deduplication_and_repeats_do_not(spark, root):
+    store = SeriesStore(spark, root, "d")
+    put(store, months_frame(spark), V1)
+    assert store.keys_are_unique(KEYS) and not store.keys_are_unique(("obs_time",))
+    consolidate_months(store, KEYS)
+    assert sorted_rows(store.projections().select("value")) == [(1.0,), (2.0,), (3.0,)]
+    repeated = observations(spark, [("2024-01-15", "A", 9.0), ("2024-01-16", "A", 4.0), (None, "A", 5.0)])
+    put(store, repeated, V2, V1)
+    assert not store.keys_are_unique(KEYS)
+    assert consolidate_months(store, KEYS, [(2024, 1)]) == [(2024, 1)]
+    january = reads.read_month(store, 2024, 1)
+    assert sorted_rows(january.select("value", "version")) == [(4.0, V2), (9.0, V2)]

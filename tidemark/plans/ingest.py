@@ -25,7 +25,7 @@ from tidemark.plans.publish import publish
 from tidemark.plans.registry import extractor_of, normalizer_of
 from tidemark.plans.repair import repair
 from tidemark.spec import DatasetSpec
-from tidemark.store import Month, SeriesStore
+from tidemark.store import Month, SeriesStore, check_label
 
 WATERMARK_SCOPES = ("dataset", "series", "off")
 
@@ -55,6 +55,7 @@ def run_ingest(
     watermark: str = "dataset",
     lag_days: int = 0,
     consolidate: bool = True,
+    verify_index: bool = True,
 ) -> RunResult:
     """Extract, normalise, keep what is new, stamp, publish, rebuild touched months.
 
@@ -62,6 +63,8 @@ def run_ingest(
     the current version nothing runs, unless ``full_reload``. ``watermark`` keeps rows
     later than the last version's latest time (``dataset``), than each series' own
     (``series``), or all rows (``off``), leaving the choice to the key index alone.
+    ``verify_index`` counts the index against the manifest first, and rebuilds it if they
+    disagree.
     """
     if watermark not in WATERMARK_SCOPES:
         raise ValueError(f"watermark must be one of {WATERMARK_SCOPES}")
@@ -73,13 +76,22 @@ def run_ingest(
     def finished(reason: str) -> RunResult:
         return RunResult(spec.dataset_id, run_id, version, False, reason=reason)
 
-    repair(store, spec.timezone, spec.escape_separator)
+    if verify_index:
+        repair(store, spec.timezone, spec.escape_separator)
     current = store.current_manifest()
     current_version = current.version if current else None
-
-    if sources is not None and not full_reload:
-        changes = source_changes(sources, store.source_files(current_version))
+    check_label(version)
+    if current_version is not None and version <= current_version:
+        raise ValueError(f"version {version} is not later than {current_version}")
+
+    if sources is not None:
+        # Written first and read back, so that no file is hashed twice.
+        store.write_source_files(version, sources)
+        changes = source_changes(
+            store.source_files(version), store.source_files(current_version), full_reload
+        )
         if not changes.where(F.col("changed")).limit(1).count():
+            store.discard(version)
             return finished("source unchanged")
 
     rows = normalizer_of(spec)(spec, extractor_of(spec)(spec, raw))
@@ -103,7 +115,7 @@ def run_ingest(
         expected_current=current_version,
         zone=spec.timezone,
         escape_separator=spec.escape_separator,
-        sources=sources,
+        sources_stored=sources is not None,
         created_at=run_time,
         known_new=True,
     )

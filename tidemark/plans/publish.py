@@ -31,6 +31,7 @@ def publish(
     zone: str | None = None,
     escape_separator: bool = False,
     sources: DataFrame | None = None,
+    sources_stored: bool = False,
     created_at: datetime | None = None,
     known_new: bool = False,
 ) -> PublishResult:
@@ -39,7 +40,8 @@ def publish(
     The delta is evaluated once, by the write of its events; counts, months and key
     hashes come from reading those files back, narrow columns only. That is a durable
     table, so a lost executor costs a task and never the delta. ``known_new`` says the
-    delta has already been anti-joined with the index.
+    delta has already been anti-joined with the index, ``sources_stored`` that the source
+    files of this version are already in their table.
 
     Nothing is visible until the manifest row is written, as the last step. A failure
     before that removes what this call wrote and is raised again.
@@ -68,6 +70,7 @@ def publish(
         source = None
         if sources is not None:
             store.write_source_files(version, sources)
+        if sources is not None or sources_stored:
             source = combined_fingerprint(store.source_files(version)).first()
 
         if store.current_version() != expected_current:

@@ -56,8 +56,11 @@ def events_for_month(store: SeriesStore, year: int, month: int) -> DataFrame:
 
 
 def audit_month(store: SeriesStore, year: int, month: int) -> DataFrame:
-    """The same, oldest version first."""
-    return events_for_month(store, year, month).orderBy("version")
+    """The same, oldest version first; by series and time within one, so that a version
+    with most of the month's rows is sorted by many tasks."""
+    rows = events_for_month(store, year, month)
+    order = ["version", *[c for c in (SERIES, "obs_time", "value") if c in rows.columns]]
+    return rows.orderBy(*order)
 
 
 def full_history(store: SeriesStore) -> DataFrame:

@@ -106,6 +106,25 @@ class SeriesStore:
         manifests = self.manifests() if manifests is None else manifests
         return manifests.select("version", F.inline("outputs.months"))
 
+    def keys_are_unique(self, keys: Sequence[str]) -> bool:
+        """Whether no key occurs twice in all published rows, as the manifests tell it.
+
+        Every version counts its rows and the keys new with it; if the sums agree, each
+        row brought a key of its own.
+        """
+        same = F.col("key_columns") == F.array(*[F.lit(k) for k in keys])
+        totals = (
+            self.manifests()
+            .select("version", "outputs.*", "index.key_columns")
+            .agg(
+                F.sum("rows_added_this_version").alias("rows"),
+                F.max_by("rows_total", "version").alias("keys"),
+                F.bool_and(same).alias("same"),
+            )
+            .first()
+        )
+        return bool(totals.same) and totals.rows == totals["keys"]
+
     def append_manifest(
         self,
         version: str,

@@ -12,13 +12,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with the SQL that gives the same rows."""
+def query(sql: str | None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function, under its own name by default, with the SQL that gives the same rows."""
 
     def add(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql is not None:
-            ORACLES[function.__name__] = sql
+            ORACLES[key] = sql
         return function
 
     return add

@@ -158,7 +158,8 @@ def month_version_index(spark, sf_dir):
     SELECT 'DATASET_UPDATED' AS type, 'orders' AS dataset_id, version,
         'orders/events/' || version || '/manifest.json' AS manifest_pointer, 'orders' AS group_id,
         sha256('orders/events/' || version || '/manifest.json') AS deduplication_id
-    FROM v WHERE version > '{VERSIONS[0]}'"""
+    FROM v WHERE version > '{VERSIONS[0]}'""",
+    name="change_feed",
 )
 def change_notices(spark, sf_dir):
     return change_feed(order_store(spark, sf_dir).manifests(), VERSIONS[0]).drop("timestamp")
