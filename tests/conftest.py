@@ -13,9 +13,11 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tidemark-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "512")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

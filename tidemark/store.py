@@ -69,6 +69,7 @@ class SeriesStore:
         self.spark = spark
         self.dataset_id = dataset_id
         self.base = f"{root.rstrip('/')}/{dataset_id}"
+        self._seen: tuple[frozenset[str], list[str], Row | None] | None = None
 
     def path(self, *parts: str) -> str:
         return "/".join([self.base, *parts])
@@ -80,11 +81,27 @@ class SeriesStore:
 
     def versions(self) -> list[str]:
         """Committed version labels, oldest first; one short text per run."""
-        return sorted(row.version for row in self.manifests().select("version").collect())
+        return self._manifest_state()[0]
 
     def current_manifest(self) -> Row | None:
-        rows = self.manifests().orderBy(F.col("version").desc()).limit(1).collect()
-        return rows[0] if rows else None
+        return self._manifest_state()[1]
+
+    def _manifest_state(self) -> tuple[list[str], Row | None]:
+        """All labels and the newest manifest, read again only when a manifest file is new.
+
+        Manifests are only ever added, so an unchanged listing means unchanged rows.
+        """
+        files = frozenset(child_names(self.spark, self.path("manifests")))
+        if self._seen is None or self._seen[0] != files:
+            labels, newest = [], None
+            if files:
+                rows = self.manifests()
+                labels, newest = rows.agg(
+                    F.sort_array(F.collect_set("version")),
+                    F.max_by(F.struct(*rows.columns), "version"),
+                ).first()
+            self._seen = (files, labels, newest)
+        return self._seen[1], self._seen[2]
 
     def current_version(self) -> str | None:
         manifest = self.current_manifest()
