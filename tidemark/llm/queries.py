@@ -9,11 +9,17 @@ from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import duplicate_classes
 from tidemark.llm.mixing import mix
 from tidemark.llm.registry import ORACLES, QUERIES, query
+from tidemark.llm.simhash import near_classes
 from tidemark.llm.sql import EXACT_DEDUP_SQL, MIXING_SQL
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query()
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents")).drop("content")
+
+
 @query(EXACT_DEDUP_SQL)
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_classes(table(spark, sf_dir, "documents"))
