@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import duplicate_classes
 from tidemark.llm.mixing import mix
+from tidemark.llm.packing import pack
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.llm.simhash import near_classes
 from tidemark.llm.sql import EXACT_DEDUP_SQL, MIXING_SQL
@@ -20,6 +21,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents")).drop("content")
 
 
+@query()
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 @query(EXACT_DEDUP_SQL)
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_classes(table(spark, sf_dir, "documents"))
