@@ -9,6 +9,7 @@ from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import duplicate_classes
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
+from tidemark.llm.quality_model import quality_scores
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.llm.simhash import near_classes
 from tidemark.llm.sql import EXACT_DEDUP_SQL, MIXING_SQL
@@ -21,6 +22,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents")).drop("content")
 
 
+@query()
+def op2_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
