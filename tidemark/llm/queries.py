@@ -10,6 +10,7 @@ from tidemark.llm.exact_dedup import duplicate_classes
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_model import quality_scores
+from tidemark.llm.quality_rules import judged
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.llm.simhash import near_classes
 from tidemark.llm.sql import EXACT_DEDUP_SQL, MIXING_SQL
@@ -49,3 +50,8 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get("positions", 0).alias("first_position"),
     )
     return mixed.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
+
+
+@query()
+def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
