@@ -13,7 +13,8 @@ from tidemark.llm.quality_model import quality_scores
 from tidemark.llm.quality_rules import judged
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.llm.simhash import near_classes
-from tidemark.llm.sql import EXACT_DEDUP_SQL, MIXING_SQL
+from tidemark.llm.sql import EXACT_DEDUP_SQL, MIXING_SQL, SUBSTRING_SQL
+from tidemark.llm.substring_dedup import remove_repeats
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -55,3 +56,8 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(SUBSTRING_SQL)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")

@@ -68,6 +68,28 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies,
 FROM m WHERE piece = 1
 """
 
+SUBSTRING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+  SELECT doc_id, place, md5(array_to_string(words[place : place + 49], ' ')) AS window_md5
+  FROM (SELECT *, unnest(range(1, len(words) - 48)) AS place FROM d)
+), s AS (
+  SELECT window_md5, min(doc_id) AS least FROM w GROUP BY window_md5 HAVING min(doc_id) <> max(doc_id)
+), r AS (
+  SELECT w.doc_id, list(DISTINCT p) AS removed
+  FROM w JOIN s USING (window_md5), unnest(range(w.place, w.place + 50)) AS u(p)
+  WHERE w.doc_id > s.least GROUP BY w.doc_id
+), k AS (
+  SELECT d.doc_id, d.words, r.removed, unnest(range(1, len(d.words) + 1)) AS p FROM d JOIN r USING (doc_id)
+), t AS (
+  SELECT doc_id, string_agg(words[p], ' ' ORDER BY p) FILTER (NOT list_contains(removed, p)) AS kept FROM k GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(len(r.removed), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN r.removed IS NULL THEN array_to_string(d.words, ' ') ELSE coalesce(t.kept, '') END) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
 
 def _segment_rows() -> str:
     from tidemark.llm.mixing import SCHEDULES, segments
