@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import shared_folder, table
 from tidemark.llm.exact_dedup import duplicate_classes
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
@@ -13,8 +13,9 @@ from tidemark.llm.quality_model import quality_scores
 from tidemark.llm.quality_rules import judged
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.llm.simhash import near_classes
-from tidemark.llm.sql import EXACT_DEDUP_SQL, MIXING_SQL, SUBSTRING_SQL
+from tidemark.llm.sql import EXACT_DEDUP_SQL, MIXING_SQL, SUBSTRING_SQL, WARC_SQL
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.warc import page_records, read_archives, resolve_revisits, write_archives
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -61,3 +62,11 @@ def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(SUBSTRING_SQL)
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query(WARC_SQL)
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = shared_folder(spark)
+    write_archives(page_records(pages), folder)
+    return resolve_revisits(read_archives(spark, folder), dict(pages.dtypes)["page_id"])

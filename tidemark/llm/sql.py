@@ -90,6 +90,32 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(len(r.re
 FROM d LEFT JOIN r USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+WARC_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha FROM pages
+), b AS (
+  SELECT *, list_reduce(
+              list_prepend('', list_transform(regexp_extract_all(sha, '.'), lambda c:
+                right('000' || bin(position(c IN '0123456789abcdef') - 1), 4))),
+              lambda a, c: a || c) AS bits
+  FROM p
+), d AS (
+  SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+         array_to_string(list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + list_sum(list_transform(range(0, 5), lambda j:
+                        CASE WHEN substr(bits, CAST(5 * i + j + 1 AS BIGINT), 1) = '1' THEN 1 << (4 - j) ELSE 0 END))::BIGINT, 1)), '') AS payload_digest
+  FROM b
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to,
+       true AS digest_holds
+FROM f
+"""
+
 
 def _segment_rows() -> str:
     from tidemark.llm.mixing import SCHEDULES, segments
