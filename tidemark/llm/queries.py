@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chat import TURN_SCHEMAS, format_chats, in_order, turns_as_calls
 from tidemark.llm.common import shared_folder, table
 from tidemark.llm.exact_dedup import duplicate_classes
 from tidemark.llm.mixing import mix
@@ -13,7 +14,7 @@ from tidemark.llm.quality_model import quality_scores
 from tidemark.llm.quality_rules import judged
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.llm.simhash import near_classes
-from tidemark.llm.sql import EXACT_DEDUP_SQL, MIXING_SQL, SUBSTRING_SQL, WARC_SQL
+from tidemark.llm.sql import CHAT_SQL, EXACT_DEDUP_SQL, MIXING_SQL, SUBSTRING_SQL, WARC_SQL
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.warc import page_records, read_archives, resolve_revisits, write_archives
 
@@ -70,3 +71,8 @@ def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     write_archives(page_records(pages), folder)
     return resolve_revisits(read_archives(spark, folder), dict(pages.dtypes)["page_id"])
+
+
+@query(CHAT_SQL)
+def op6_chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return in_order(format_chats(turns_as_calls(table(spark, sf_dir, "conversations")), TURN_SCHEMAS))

@@ -116,6 +116,39 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+CHAT_SQL = r"""
+WITH m AS (
+  SELECT *, conv_id || ':' || turn AS own_id, conv_id || ':' || (turn - 1) AS asked_id FROM conversations
+), steps AS (
+  SELECT conv_id, turn, 'message' AS kind, NULL AS call_id, 'message' AS status, '' AS errors,
+         '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' AS json,
+         turn AS place, 0 AS depth, 0 AS part
+  FROM m WHERE role <> 'assistant'
+  UNION ALL
+  SELECT c.conv_id, c.turn, 'call', c.own_id,
+         CASE WHEN r.turn IS NULL THEN 'no result' ELSE 'linked' END, '',
+         '{"arguments":{"prompt":' || to_json(c.text)
+           || CASE WHEN c.role = 'user' AND c.turn % 2 = 1 THEN ',"system":"$result:' || c.conv_id || ':0"' ELSE '' END
+           || ',"turn":' || c.turn || '},"id":' || to_json(c.own_id)
+           || ',"name":"' || CASE WHEN c.role = 'user' THEN 'reply' ELSE 'configure' END || '"}',
+         c.turn, CASE WHEN c.role = 'user' AND c.turn % 2 = 1 AND s.turn IS NOT NULL THEN 1 ELSE 0 END, 1
+  FROM m c
+  LEFT JOIN m r ON r.conv_id = c.conv_id AND r.role = 'assistant' AND r.asked_id = c.own_id
+  LEFT JOIN m s ON s.conv_id = c.conv_id AND s.turn = 0 AND s.role <> 'assistant'
+  WHERE c.role <> 'assistant'
+  UNION ALL
+  SELECT r.conv_id, r.turn, 'result', r.asked_id, CASE WHEN c.turn IS NULL THEN 'no call' ELSE 'linked' END, '',
+         '{"content":' || to_json(r.text) || ',"id":' || to_json(r.asked_id) || ',"role":"assistant"}',
+         coalesce(c.turn, r.turn),
+         CASE WHEN c.role = 'user' AND c.turn % 2 = 1 AND s.turn IS NOT NULL THEN 1 ELSE 0 END, 1
+  FROM m r
+  LEFT JOIN m c ON c.conv_id = r.conv_id AND c.role <> 'assistant' AND c.own_id = r.asked_id
+  LEFT JOIN m s ON s.conv_id = r.conv_id AND s.turn = 0 AND s.role <> 'assistant'
+  WHERE r.role = 'assistant'
+)
+SELECT *, 0 AS number FROM steps
+"""
+
 
 def _segment_rows() -> str:
     from tidemark.llm.mixing import SCHEDULES, segments
