@@ -16,6 +16,7 @@ from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.llm.simhash import near_classes
 from tidemark.llm.sql import CHAT_SQL, EXACT_DEDUP_SQL, MIXING_SQL, SUBSTRING_SQL, WARC_SQL
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.toxicity import severities
 from tidemark.llm.warc import page_records, read_archives, resolve_revisits, write_archives
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -76,3 +77,8 @@ def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CHAT_SQL)
 def op6_chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_order(format_chats(turns_as_calls(table(spark, sf_dir, "conversations")), TURN_SCHEMAS))
+
+
+@query()
+def op10_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return severities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
