@@ -1,0 +1,60 @@
+"""Small corpora with nulls, blanks, long texts, ties, repeated rows and clashing columns."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# Names that the operators use themselves.
+CLASHING = ("id", "key", "row", "content", "fp", "label", "kept", "score", "size", "words", "seed", "first", "cluster")
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(
+    f"{c} string" for c in CLASHING
+)
+
+
+def words_of(text: str | None) -> list[str]:
+    return WORD.findall(text or "")
+
+
+def frame(spark: SparkSession, rows: list[tuple[int | None, str | None, str | None]]) -> DataFrame:
+    """Rows (doc_id, text, source) with all columns of documents and more."""
+    full = [(i, t, None if i is None else "en", s, None, *("x" for _ in CLASHING)) for i, t, s in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def mixed_rows(seed: int = 3) -> list[tuple[int | None, str | None, str | None]]:
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 7))) for _ in range(300)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    shared = text(80)
+    rows: list[tuple[int | None, str | None, str | None]] = [
+        (1, None, None),
+        (2, "", "a"),
+        (3, " \n\t ", "a"),
+        (4, "one", None),
+        (5, "One\n", "b"),
+        (None, text(60), "b"),
+        (None, None, None),
+        (7, text(30_000), "long"),
+    ]
+    for i in range(10, 60):
+        source = "hot" if i % 3 else rng.choice("abc")
+        body = text(rng.randint(1, 120))
+        rows.append((i, body, source))
+        if i % 5 == 0:
+            rows.append((1000 + i, body, "hot"))
+            rows.append((2000 + i, body.replace(" ", "\n", 1) + "  ", "hot"))
+        if i % 7 == 0:
+            rows.append((3000 + i, f"{text(20)} {shared} {text(15)}", "hot"))
+        if i % 11 == 0:
+            rows += [(i, body, source)] * 2
+    copied = text(400).split()
+    for i in range(25):
+        copy = list(copied)
+        copy[rng.randrange(400)] = "other"
+        rows.append((5000 + i, " ".join(copy), "hot"))
+    rng.shuffle(rows)
+    return rows

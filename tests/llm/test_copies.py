@@ -1,0 +1,206 @@
+"""Exact, near and substring deduplication against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import sys
+from collections import defaultdict
+from pathlib import Path
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+from corpora import frame, mixed_rows, words_of  # noqa: E402
+
+from tidemark.llm import exact_dedup, simhash, substring_dedup  # noqa: E402
+from tidemark.llm.components import connected_components  # noqa: E402
+
+ROWS = mixed_rows()
+
+
+def squeezed(text):
+    return "".join(words_of(text))
+
+
+def rank(row):
+    return (-len(row[1] or ""), row[0] is None, row[0] or 0)
+
+
+def test_exact_classes_equal_brute_force(spark):
+    groups = defaultdict(list)
+    for row in ROWS:
+        groups[squeezed(row[1])].append(row)
+    want = []
+    for content, members in groups.items():
+        best = min(members, key=rank)
+        for i, text, _ in members:
+            kept = i == best[0] and len(text or "") == len(best[1] or "")
+            want.append((i, best[0], len(members), kept, hashlib.sha256(content.encode()).hexdigest()))
+    got = exact_dedup.duplicate_classes(frame(spark, ROWS)).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_texts_that_share_a_digest_stay_apart(spark):
+    docs = frame(spark, ROWS)
+    whole = exact_dedup.duplicate_classes(docs).collect()
+    weak = exact_dedup.duplicate_classes(docs, digest=lambda c: F.unhex(F.substring(F.md5(c), 1, 2))).collect()
+    assert sorted(map(repr, whole)) == sorted(map(repr, weak))
+
+
+def test_exact_deduplication_keeps_one_row_of_each_text(spark):
+    docs = frame(spark, ROWS)
+    kept = exact_dedup.deduplicate(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert len(rows) == len({squeezed(t) for _, t, _ in ROWS})
+    assert len({squeezed(r.text) for r in rows}) == len(rows)
+    assert all(r.cluster == "x" for r in rows)
+
+
+def plain_fingerprint(text):
+    words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in words_of(text)]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(nodes, linked):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in linked:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def test_near_classes_equal_brute_force(spark):
+    prints = {t: plain_fingerprint(t) for _, t, _ in ROWS}
+    nodes = set(prints.values())
+    linked = [(a, b) for a, b in itertools.combinations(nodes, 2) if (a ^ b).bit_count() <= 4]
+    root = components(nodes, linked)
+    least = defaultdict(list)
+    for i, t, _ in ROWS:
+        least[root[prints[t]]].append(i)
+    want = []
+    for i, t, _ in ROWS:
+        ids = [x for x in least[root[prints[t]]] if x is not None]
+        links = sum(prints[t] in pair for pair in linked)
+        want.append((i, f"{prints[t]:016x}", min(ids, default=None), len(least[root[prints[t]]]), links))
+    got = simhash.near_classes(frame(spark, ROWS)).drop("content").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert len(linked) > 20 and len(set(root.values())) < len(nodes)
+
+
+def test_near_deduplication_keeps_one_row_of_each_component(spark):
+    docs = frame(spark, ROWS)
+    classes = simhash.near_classes(docs).collect()
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert {r.doc_id for r in rows if r.doc_id is not None} == {r.component_id for r in classes if r.component_id is not None}
+    whole = {(r.component_id, r.fingerprint if r.component_id is None else None) for r in classes}
+    assert len(rows) == len(whole)
+
+
+@pytest.mark.parametrize("distance", range(7))
+def test_segments_leave_no_pair_out(distance):
+    """Any way of spreading the differing bits over the segments lets one of them agree."""
+    parts = simhash.segments(distance)
+    assert sum(length for _, length, _ in parts) == 64
+    for spread in itertools.product(range(distance + 1), repeat=len(parts)):
+        if sum(spread) <= distance:
+            assert any(errors <= wild for errors, (_, _, wild) in zip(spread, parts))
+
+
+@pytest.mark.parametrize("distance", [1, 2, 3, 4, 5])
+def test_near_pairs_equal_brute_force(spark, distance):
+    import random
+
+    rng = random.Random(distance)
+    values = set()
+    for _ in range(12):
+        base = rng.getrandbits(64)
+        for _ in range(14):
+            changed = base
+            for _ in range(rng.randint(0, 6)):
+                changed ^= 1 << rng.randrange(64)
+            values.add(changed)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    frame_ = spark.createDataFrame([(v,) for v in signed], "fp bigint")
+    got = {(r.a, r.b) for r in simhash.near_pairs(frame_, distance).collect()}
+    want = {
+        tuple(sorted((a, b)))
+        for a, b in itertools.combinations(signed, 2)
+        if ((a ^ b) & (2**64 - 1)).bit_count() <= distance
+    }
+    assert got == want and want
+
+
+@pytest.mark.parametrize("links", [[], [(5, 5)], [(i, i + 1) for i in range(200)], [(0, i) for i in range(1, 150)]])
+def test_components_of_chains_and_stars(spark, links):
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    nodes = {n for link in links for n in link}
+    want = {n: r for n, r in components(nodes, links).items() if n != r}
+    assert got == want
+
+
+def removed(rows, window=50):
+    texts = [(i, words_of(t)) for i, t, _ in rows]
+    least = {}
+    for i, words in texts:
+        if i is not None:
+            for p in range(len(words) - window + 1):
+                key = tuple(words[p : p + window])
+                least[key] = min(least.get(key, i), i)
+    out = []
+    for i, words in texts:
+        gone = set()
+        if i is not None:
+            for p in range(len(words) - window + 1):
+                if least[tuple(words[p : p + window])] < i:
+                    gone.update(range(p, p + window))
+        kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+        out.append((i, len(words), len(gone), kept))
+    return out
+
+
+@pytest.mark.parametrize("window, seed", [(50, 6), (8, 3), (5, 5), (20, 1)])
+def test_removed_words_equal_brute_force(spark, window, seed):
+    rows = [*ROWS, (9000, " ".join(["again"] * 300), "a"), (9001, " ".join(["again"] * 120), "b")]
+    got = substring_dedup.remove_repeats(frame(spark, rows), window=window, seed=seed).collect()
+    want = removed(rows, window)
+    assert sorted((repr(r.doc_id), r.n_words, r.n_removed, r.kept_text) for r in got) == sorted(
+        (repr(i), n, k, t) for i, n, k, t in want
+    )
+    assert all(r.kept_sha256 == hashlib.sha256(r.kept_text.encode()).hexdigest() for r in got)
+    assert sum(k for _, _, k, _ in want) > 0
+
+
+def test_rows_that_share_an_id_never_take_from_each_other(spark):
+    text = " ".join(f"w{i}" for i in range(90))
+    rows = [(2, text, "a"), (2, text + " end", "a"), (3, "start " + text, "a")]
+    got = {(r.doc_id, r.n_words): r.n_removed for r in substring_dedup.remove_repeats(frame(spark, rows)).collect()}
+    assert got == {(2, 90): 0, (2, 91): 0, (3, 91): 90}
+
+
+def test_empty_tables(spark):
+    docs = frame(spark, ROWS).limit(0)
+    for result in (
+        exact_dedup.duplicate_classes(docs),
+        exact_dedup.deduplicate(docs),
+        simhash.near_classes(docs),
+        simhash.deduplicate(docs),
+        substring_dedup.remove_repeats(docs),
+    ):
+        assert result.collect() == []
