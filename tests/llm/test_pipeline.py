@@ -1,0 +1,112 @@
+"""The corpus pipeline, stage by stage, against brute force on each stage's own input."""
+
+from __future__ import annotations
+
+import itertools
+import sys
+from collections import Counter, defaultdict, namedtuple
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+from corpora import frame, mixed_rows, words_of  # noqa: E402
+from test_copies import components, plain_fingerprint, squeezed  # noqa: E402
+from test_mixing_packing import check_bins  # noqa: E402
+
+import corpus_pipeline  # noqa: E402
+from tidemark.llm import mixing, quality_model  # noqa: E402
+from tidemark.llm.common import table, written  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="needs the test tables")
+
+
+def rows_of(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def check_quality(spark, docs, out):
+    scores = quality_model.quality_scores(docs, table(spark, SF_DIR, "labels")).collect()
+    assert Counter(r[0] for r in out.elements()) == Counter(r.doc_id for r in scores if r.score >= 0.7)
+
+
+def check_exact(spark, docs, out):
+    groups = defaultdict(list)
+    for r in docs.collect():
+        groups[squeezed(r.text)].append(r)
+    best = {min(g, key=lambda r: (-len(r.text or ""), r.doc_id is None, r.doc_id or 0)) for g in groups.values()}
+    assert out == Counter(map(tuple, best))
+
+
+def check_near(spark, docs, out):
+    rows = docs.collect()
+    prints = {r.text: plain_fingerprint(r.text) for r in rows}
+    nodes = set(prints.values())
+    root = components(nodes, [p for p in itertools.combinations(nodes, 2) if (p[0] ^ p[1]).bit_count() <= 4])
+    groups = defaultdict(list)
+    for r in rows:
+        groups[root[prints[r.text]]].append(r)
+    assert len(list(out.elements())) == len(groups)
+    for members in groups.values():
+        least = min(members, key=lambda r: (r.doc_id is None, r.doc_id or 0)).doc_id
+        assert sum(out[tuple(r)] for r in set(members) if r.doc_id == least) == 1
+
+
+def check_mixing(spark, docs, out):
+    copies = Counter()
+    for r in mixing.mix(docs).collect():
+        copies[r.doc_id] += r.copies
+    assert +Counter(r[0] for r in out.elements()) == +copies
+    assert set(out) <= set(rows_of(docs))
+
+
+def check_packing(spark, docs, out):
+    names = ("doc_id", "copy", "piece", "first_word", "n_words", "cluster", "bin_id", "bin_offset")
+    rows = [namedtuple("Piece", names)(*r) for r in out.elements()]
+    check_bins(rows, 2048, 4, {})
+    want = Counter()
+    for r in docs.collect():
+        want[r.doc_id] += len(words_of(r.text))
+    got = Counter()
+    for r in rows:
+        got[r.doc_id] += r.n_words
+    assert +got == +want
+
+
+CHECKS = {
+    "quality": check_quality,
+    "exact": check_exact,
+    "near": check_near,
+    "mixing": check_mixing,
+    "packing": check_packing,
+}
+
+
+@pytest.mark.parametrize("given", ["documents", "awkward"])
+def test_stages_equal_brute_force(spark, given):
+    docs = table(spark, SF_DIR, "documents") if given == "documents" else frame(spark, mixed_rows())
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        result = written(stage(spark, docs, SF_DIR))
+        if name != "packing":
+            assert result.columns == columns
+        CHECKS[name](spark, docs, rows_of(result))
+        docs = result
+
+
+def test_run_gives_the_rows_of_the_stages(spark):
+    docs = table(spark, SF_DIR, "documents")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF_DIR))
+    assert rows_of(corpus_pipeline.run(spark, SF_DIR)) == rows_of(docs)
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact", "near", "mixing", "packing"]
+
+
+def test_no_documents(spark):
+    docs = table(spark, SF_DIR, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF_DIR))
+        assert docs.collect() == []
