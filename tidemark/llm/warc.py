@@ -75,11 +75,13 @@ def page_records(
         .select(F.struct("page_id", "payload_digest").alias("key"), F.col("first").alias("refers_to"))
         .distinct()
     )
-    # As many partitions, and so files, as the payloads need.
+    # As many partitions, and so files, as the payloads need, but no fewer than the session
+    # joins by: a join raises a smaller number, and where Spark then finds that there is no
+    # revisit and drops the join, it would deal the payloads once more.
     total = heads.agg(F.sum("payload_bytes")).first()[0] or 0
-    files = max(1, -(-total // ARCHIVE_BYTES))
+    files = max(-(-total // ARCHIVE_BYTES), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keyed = rows.withColumn("key", F.struct("page_id", "payload_digest")).repartition(files, "key")
-    return keyed.join(revisits, "key", "left").select(
+    return keyed.join(revisits.repartition(files, "key"), "key", "left").select(
         "page_id",
         "url",
         F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"),
