@@ -17,7 +17,6 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "512")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

@@ -65,6 +65,11 @@ def test_empty_series_list_gives_the_base_columns(wide):
 def test_offsets_need_a_row_number(wide):
     with pytest.raises(ValueError, match="row_idx"):
         extract.extract_wide(wide, [SeriesSpec("S", "B", "C", start_data_row=2)])
+    with pytest.raises(ValueError, match="row_idx"):
+        extract.extract_wide(wide, [SeriesSpec("S", "B", "C", header_row=2)])
+    with pytest.raises(ValueError, match="row_idx"):
+        extract.extract_wide(wide, [SeriesSpec("S", "B", "C")])
+    assert extract.extract_wide(wide, [SeriesSpec("S", "B", "C", start_data_row=0, drop_na=False)]).count() == 5
     with pytest.raises(ValueError, match="position"):
         extract.extract_wide(wide, [SeriesSpec("S", "B", "Z")], row_idx="row_idx")
 
@@ -83,7 +88,9 @@ def labelled(spark):
 
 
 def test_categories(labelled):
-    spec = CategorySpec("P", "A", "B", "C", {"General": "GEN", "Food": "FOOD", "Index": "X"}, ("Index",), unit="pct")
+    spec = CategorySpec(
+        "P", "A", "B", "C", {"General": "GEN", "Food": "FOOD", "Index": "X"}, ("Index",), unit="pct", start_data_row=0
+    )
     got = extract.extract_category(labelled, [spec])
     assert sorted_rows(got.select("internal_series_code", "obs_time", "value", "unit")) == [
         ("P_FOOD", "2024-01-01", 2.0, "pct"),
@@ -93,9 +100,9 @@ def test_categories(labelled):
 
 def test_several_category_blocks_and_a_plain_series_together(labelled):
     specs = [
-        CategorySpec("P", "A", "B", "C", {"General": "GEN"}),
-        CategorySpec("Q", "A", "B", "C", {"General": "GEN", "Food": "FOOD"}, drop_na=False),
-        SeriesSpec("ALL", "B", "C"),
+        CategorySpec("P", "A", "B", "C", {"General": "GEN"}, start_data_row=0),
+        CategorySpec("Q", "A", "B", "C", {"General": "GEN", "Food": "FOOD"}, drop_na=False, start_data_row=0),
+        SeriesSpec("ALL", "B", "C", start_data_row=0),
     ]
     got = extract.extract_category(labelled, specs).groupBy("internal_series_code").count()
     assert dict(tuple(r) for r in got.collect()) == {"P_GEN": 1, "Q_GEN": 2, "Q_FOOD": 1, "ALL": 4}

@@ -1,5 +1,7 @@
 """Whole runs: the golden sequence, months, versions, source check, watermark scopes."""
 
+from datetime import datetime, timedelta
+
 import pytest
 from frames import at, daily, observations, sorted_rows
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import DatasetSpec, SeriesStore, run_ingest
 from tidemark.plans import reads
 from tidemark.plans.repair import check_consistency
+from tidemark.schema import ENRICHED_EVENT
 
 KEYS = ("obs_time", "internal_series_code")
 SPEC = DatasetSpec("d1", KEYS, frequency="D", timezone="America/Argentina/Buenos_Aires", provider="P")
@@ -34,32 +37,38 @@ def test_golden_sequence(spark, root):
     assert check_consistency(store).first().consistent
 
 
-def test_first_run_then_one_new_row(spark, root):
-    first = [("2024-01-01", "SERIES_1", 1.0), ("2024-01-02", "SERIES_1", 2.0), ("2024-01-03", "SERIES_2", 3.0)]
-    one = run(spark, root, observations(spark, first), "2024-02-01T00:00:00+00:00")
-    assert (one.rows_added, one.rows_total, one.months) == (3, 3, ((2024, 1),))
-    store = SeriesStore(spark, root, "d1")
-    assert reads.read_series_month(store, "SERIES_1", 2024, 1).count() == 2
-    assert reads.read_series_month(store, "SERIES_2", 2024, 1).count() == 1
+def hourly(spark, stations, hours, start=0):
+    """Readings of a few stations: the value tells station and hour."""
+    rows = [
+        (str(datetime(2021, 8, 20) + timedelta(hours=h)), name, 100.0 * n + h)
+        for n, name in enumerate(stations)
+        for h in range(start, hours)
+    ]
+    return observations(spark, rows)
 
-    second = first + [("2024-01-04", "SERIES_1", 4.0)]
-    two = run(spark, root, observations(spark, second), "2024-02-02T00:00:00+00:00")
-    assert (two.rows_added, two.rows_total) == (1, 4)
-    assert sorted_rows(reads.version_delta(store, two.version).select("value")) == [(4.0,)]
-    assert reads.read_series_month(store, "SERIES_1", 2024, 1).count() == 3
+
+def test_first_run_then_more_hours(spark, root):
+    one = run(spark, root, hourly(spark, ("ridge", "valley"), 10), "2021-09-01T00:00:00+00:00")
+    assert (one.rows_added, one.rows_total, one.months) == (20, 20, ((2021, 8),))
+    store = SeriesStore(spark, root, "d1")
+    two = run(spark, root, hourly(spark, ("ridge", "valley"), 13), "2021-09-02T00:00:00+00:00")
+    assert (two.rows_added, two.rows_total) == (6, 26)
+    added = sorted_rows(reads.version_delta(store, two.version).select("value"))
+    assert added == [(10.0,), (11.0,), (12.0,), (110.0,), (111.0,), (112.0,)]
+    for name in ("ridge", "valley"):
+        assert reads.read_series_month(store, name, 2021, 8).count() == 13
+    assert reads.read_series_month(store, "ridge", 2021, 9).count() == 0
 
 
 def test_several_series_and_months(spark, root):
-    rows = [("2024-01-01", "S1", 1.0), ("2024-01-02", "S2", 2.0), ("2024-02-01", "S1", 3.0), ("2024-02-02", "S2", 4.0)]
-    run(spark, root, observations(spark, rows), "2024-03-01T00:00:00+00:00")
+    """From 20 August to 3 September: every series has its rows in both months."""
+    run(spark, root, hourly(spark, ("ridge", "valley", "coast"), 15 * 24), "2021-10-01T00:00:00+00:00")
     store = SeriesStore(spark, root, "d1")
-    for series, month, value in (("S1", 1, 1.0), ("S2", 1, 2.0), ("S1", 2, 3.0), ("S2", 2, 4.0)):
-        got = reads.read_series_month(store, series, 2024, month).collect()
-        assert [r.value for r in got] == [value]
-    assert store.projections().columns == [
-        "dataset_id", "provider", "frequency", "unit", "source_kind", "obs_time", "obs_date", "value",
-        "internal_series_code", "version", "vintage_date", "quality_flag", "year", "month",
-    ]
+    for n, name in enumerate(("ridge", "valley", "coast")):
+        for month, hours in ((8, range(12 * 24)), (9, range(12 * 24, 15 * 24))):
+            rows = reads.read_series_month(store, name, 2021, month).collect()
+            assert sorted(r.value for r in rows) == [100.0 * n + h for h in hours]
+    assert [f.name for f in ENRICHED_EVENT] + ["year", "month"] == store.projections().columns
 
 
 def test_changed_value_of_a_known_key_is_ignored(spark, root):

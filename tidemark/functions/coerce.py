@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -10,11 +11,13 @@ from pyspark.sql import types as T
 
 from tidemark.functions import localtime
 
-# What counts as a number, and the times a nanosecond clock can hold.
+# What counts as a number.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INFINITY_PATTERN = r"(?i)^\s*[+-]?inf(inity)?\s*$"
-FIRST_TIME = "1677-09-21 00:12:43.145225"
-LAST_TIME = "2262-04-11 23:47:16.854775"
+# A zone or offset behind the time of day.
+ZONED_PATTERN = r":\d{2}(\.\d*)?\s*([zZ]|[+-]\d{1,2}(:?\d{2})?|UTC|GMT|[A-Za-z]+/[A-Za-z_/]+)\s*$"
+# Pattern letters for a zone or an offset, outside quotes.
+ZONE_LETTERS = r"[VzOXxZ]"
 
 
 def to_number(column: Column, data_type: T.DataType) -> Column:
@@ -36,8 +39,9 @@ def to_time(
 ) -> Column:
     """TIMESTAMP_NTZ wall clock or null.
 
-    Text is read as ISO, or by the first of ``formats`` that fits. A zoned column
-    becomes the wall clock of ``zone`` (UTC if none).
+    Text is read as ISO, or by the first of ``formats`` that fits. A zoned column, and ISO
+    text with a zone or an offset, becomes the wall clock of ``zone`` (UTC if none); text
+    without one is a wall clock already. Formats can hold no zone.
     """
     if isinstance(data_type, T.TimestampNTZType):
         return column
@@ -48,11 +52,15 @@ def to_time(
     if not isinstance(data_type, T.StringType):
         raise ValueError(f"{data_type.simpleString()} is not a time column")
     if formats:
-        time = F.coalesce(*[_by_format(column, fmt) for fmt in formats])
-    else:
-        time = F.trim(column).try_cast("timestamp_ntz")
-    in_range = time.between(localtime.ntz_literal(FIRST_TIME), localtime.ntz_literal(LAST_TIME))
-    return F.when(in_range, time)
+        for fmt in formats:
+            if re.search(ZONE_LETTERS, re.sub(r"'[^']*'", "", fmt)):
+                raise ValueError(f"a time format without a zone is needed: {fmt!r}")
+        return F.coalesce(*[_by_format(column, fmt) for fmt in formats])
+    text = F.trim(column)
+    instant = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp")
+    return F.when(text.rlike(ZONED_PATTERN), localtime.wall_of_instant(instant, zone or "UTC")).otherwise(
+        text.try_cast("timestamp_ntz")
+    )
 
 
 def _by_format(column: Column, fmt: str) -> Column:

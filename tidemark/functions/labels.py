@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Formats other readers of the tables rely on.
 VERSION_FORMAT = "%Y-%m-%dT%H-%M-%S"
 POINTER_SUFFIX = "manifest.json"
+MANIFEST_FOLDER = "manifest_files"
 NOTICE_TYPE = "DATASET_UPDATED"
 
 
@@ -31,7 +32,8 @@ def version_of_path(path: Column) -> Column:
 
 
 def manifest_pointer(dataset_id: Column, version: Column) -> Column:
-    return F.concat_ws("/", dataset_id, F.lit("events"), version, F.lit(POINTER_SUFFIX))
+    """Where the JSON manifest of a version lies, under the root of the datasets."""
+    return F.concat_ws("/", dataset_id, F.lit(MANIFEST_FOLDER), version, F.lit(POINTER_SUFFIX))
 
 
 def month_path(year: Column, month: Column) -> Column:

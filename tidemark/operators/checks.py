@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: how many rows index and manifest may differ by default.
-ROW_TOLERANCE = 10
+# How many rows index and manifest may differ by default: both are exact counts.
+ROW_TOLERANCE = 0
 
 
 def consistency_report(
-    pointer: DataFrame, manifests: DataFrame, index: DataFrame, tolerance: int = ROW_TOLERANCE
+    pointer: DataFrame,
+    manifests: DataFrame,
+    index: DataFrame,
+    tolerance: int = ROW_TOLERANCE,
+    expected_rows: int | None = None,
 ) -> DataFrame:
     """One row ``(consistent, expected, actual, reason)``.
 
     ``pointer`` holds at most one row ``(dataset_id, current_version)``. The index is
-    only counted; a count needs no column, so Parquet footers answer it.
+    only counted; a count needs no column, so Parquet footers answer it. ``expected_rows``
+    stands for the count of the current manifest, where a rebuild has corrected it.
     """
     named = pointer.select(F.col("current_version").alias("version"))
     published = manifests.join(named, "version", "left_semi").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("outputs.rows_total").alias("expected")
+        F.count(F.lit(1)).alias("rows"), F.max("outputs.rows_total" if expected_rows is None else F.lit(expected_rows)).alias("expected")
     )
     one = pointer.agg(
         F.count(F.lit(1)).alias("_pointers"), F.max("current_version").alias("_current")

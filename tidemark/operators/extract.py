@@ -120,14 +120,9 @@ def rows_of_cells(cells: DataFrame, specs: Sequence[Spec]) -> DataFrame:
     return folded.select("path", "sheet", "row_idx", F.array(*by_position).alias("cells"))
 
 
-def skip_leading_rows(df: DataFrame, rows: int, row_idx: str = "row_idx") -> DataFrame:
-    """Rows from position ``rows`` on, counted on an explicit row number."""
-    return df.where(F.col(row_idx) >= rows)
-
-
 def drop_missing(df: DataFrame, columns: Sequence[str] = ("obs_time", "value")) -> DataFrame:
     """Drop rows where any of ``columns`` is null or NaN."""
-    return df.where(_all_present([(F.col(c), df.schema[c].dataType) for c in columns]))
+    return df.where(all_present([(F.col(c), df.schema[c].dataType) for c in columns]))
 
 
 def _extract(
@@ -153,7 +148,7 @@ def _extract(
         time, value = cell(spec.date_col), cell(spec.value_col)
         wanted = in_scope(spec)
         if spec.drop_na:
-            wanted &= _all_present(
+            wanted &= all_present(
                 [(time, cell_type(spec.date_col)), (value, cell_type(spec.value_col))]
             )
         fields = [time.cast(time_type).alias("obs_time"), value.cast(value_type).alias("value")]
@@ -214,8 +209,8 @@ def _column_name(df: DataFrame, reference: str, by: str) -> str:
 
 def _row_window(spec: Spec, row_idx: str | None) -> Column:
     if row_idx is None:
-        if spec.start_data_row is not None or spec.end_row is not None:
-            raise ValueError("skipping rows needs a row_idx column to count by")
+        if spec.first_offset != 0 or spec.end_row is not None:
+            raise ValueError("skipping rows needs a row_idx column to count by, or start_data_row=0")
         return F.lit(True)
     window = F.col(row_idx) >= spec.first_offset
     return window & (F.col(row_idx) < spec.end_row) if spec.end_row is not None else window
@@ -229,7 +224,7 @@ def _common_type(types: list[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
-def _all_present(columns: list[tuple[Column, T.DataType]]) -> Column:
+def all_present(columns: list[tuple[Column, T.DataType]]) -> Column:
     present = F.lit(True)
     for column, data_type in columns:
         present &= column.isNotNull()

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import coerce, localtime
-from tidemark.operators.extract import drop_missing
+from tidemark.operators.extract import all_present, drop_missing
 from tidemark.schema import find_date_column
 
 
@@ -54,15 +55,43 @@ def normalize(
 ) -> DataFrame:
     """Coerce times and numbers, check local times, drop rows missing either field."""
     required = [name for name in ("obs_time", "value") if name in df.columns]
-    if "obs_time" in df.columns:
-        df = coerce_dates(df, "obs_time", formats, zone)
-    if "value" in df.columns:
-        df = coerce_numbers(df, "value")
+    df = coerce_fields(df, zone, formats)
     if zone and "obs_time" in df.columns:
         df = localize(df, zone, "obs_time", on_bad_local_time)
     return drop_missing(_computed_once(df, required), required)
 
 
+def coerce_fields(df: DataFrame, zone: str | None = None, formats: Sequence[str] = ()) -> DataFrame:
+    """Times and numbers of all rows, null where they can't be read."""
+    if "obs_time" in df.columns:
+        df = coerce_dates(df, "obs_time", formats, zone)
+    return coerce_numbers(df, "value") if "value" in df.columns else df
+
+
+def count_rows(
+    df: DataFrame,
+    zone: str | None = None,
+    formats: Sequence[str] = (),
+    cutoff: datetime | None = None,
+) -> DataFrame:
+    """What normalisation and a dataset-wide watermark make of the rows, as one row:
+    ``rows_read``, ``rejected_time``, ``rejected_value`` (of readable time), ``not_newer``
+    (of both readable) and ``usable``, the rest. One pass over two columns."""
+    df = _computed_once(coerce_fields(df, zone, formats), [c for c in ("obs_time", "value") if c in df.columns])
+    time = F.col("obs_time").isNotNull() if "obs_time" in df.columns else F.lit(True)
+    value = all_present([(F.col("value"), df.schema["value"].dataType)]) if "value" in df.columns else F.lit(True)
+    old = F.lit(False)
+    if cutoff is not None and "obs_time" in df.columns:
+        old = F.coalesce(F.col("obs_time") <= localtime.ntz_literal(cutoff), F.lit(False))
+    return df.agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(~time).alias("rejected_time"),
+        F.count_if(time & ~value).alias("rejected_value"),
+        F.count_if(time & value & old).alias("not_newer"),
+        F.count_if(time & value & ~old).alias("usable"),
+    )
+
+
 def _computed_once(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pass columns through a generator.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +41,31 @@ def filter_newer(
     return df.where(_wall(df, column, zone) > bound)
 
 
+def narrow_scan(
+    df: DataFrame,
+    cutoff: datetime | str | None,
+    column: str = "obs_time",
+    zone: str | None = None,
+    lag_days: int = 0,
+) -> DataFrame:
+    """Leaves out rows that ``filter_newer`` is sure to drop, by a comparison of the stored
+    column with a literal, which reaches the scan. For rows not normalised yet: null times
+    stay, instants get a day to spare for their zone, and text is left to the filter."""
+    if cutoff is None or column not in df.columns:
+        return df
+    bound, time = effective_cutoff(cutoff, lag_days), F.col(column)
+    data_type = df.schema[column].dataType
+    if isinstance(data_type, T.TimestampNTZType):
+        later = time > localtime.ntz_literal(bound)
+    elif isinstance(data_type, T.DateType):
+        later = time >= F.lit(bound.date())
+    elif isinstance(data_type, T.TimestampType):
+        later = time > F.lit((bound - timedelta(days=1)).replace(tzinfo=timezone.utc))
+    else:
+        return df
+    return df.where(time.isNull() | later)
+
+
 def effective_cutoff(cutoff: datetime | str, lag_days: int = 0) -> datetime:
     moment = datetime.fromisoformat(cutoff) if isinstance(cutoff, str) else cutoff
     return moment.replace(tzinfo=None) - timedelta(days=lag_days)

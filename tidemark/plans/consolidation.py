@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import consolidate, with_series
-from tidemark.store import COMPLETED, IN_PROGRESS, Month, SeriesStore, latest_month_status
+from tidemark.operators.dedup import consolidate
+from tidemark.store import COMPLETED, IN_PROGRESS, Month, SeriesStore
 
 
 def affected_months(rows: DataFrame) -> DataFrame:
@@ -16,12 +15,6 @@ def affected_months(rows: DataFrame) -> DataFrame:
     return rows.select("year", "month").dropna().distinct().orderBy("year", "month")
 
 
-def in_months(months: Iterable[Month]) -> Column:
-    """Predicate on the partition columns for a list of months."""
-    numbers = [year * 100 + month for year, month in months]
-    return (F.col("year") * 100 + F.col("month")).isin(numbers)
-
-
 def consolidate_months(
     store: SeriesStore,
     keys: Sequence[str],
@@ -32,28 +25,25 @@ def consolidate_months(
 ) -> list[Month]:
     """Rewrite the projections of ``months`` (default: all published ones).
 
-    ``only_incomplete`` leaves out months whose last rebuild completed. Returns the
-    months written; a month without a row that names its series stays ``in_progress``.
+    ``only_incomplete`` leaves out months whose last completed rebuild has seen all their
+    versions. Every status names the newest version committed when the rebuild began.
+    Returns the months written; a month without a row that names its series has nothing to
+    write, and stays ``in_progress``.
     """
     wanted = sorted(set(months)) if months is not None else published_months(store)
     if only_incomplete:
-        done = latest_month_status(store.month_status_log()).where(F.col("status") == COMPLETED)
-        finished = {(r.year, r.month) for r in done.select("year", "month").collect()}
-        wanted = [m for m in wanted if m not in finished]
+        due = set(store.due_months())
+        wanted = [m for m in wanted if m in due]
     if not wanted:
         return []
 
-    store.append_month_status(wanted, IN_PROGRESS)
-    events = store.events(skip_unreadable).where(in_months(wanted))
-    if store.keys_are_unique(keys):
-        # Nothing to choose between: the rows go to their months with one shuffle less.
-        store.write_projections(with_series(events))
-    else:
-        store.write_projections(consolidate(events, keys, tie_breakers))
-    # Partition columns only: answered from the file listing and footers.
-    written = affected_months(store.projections().where(in_months(wanted))).collect()
-    completed = [(r.year, r.month) for r in written]
-    store.append_month_status(completed, COMPLETED)
+    version = store.current_version()
+    store.append_month_status(wanted, IN_PROGRESS, version)
+    events = store.events_in(wanted, skip_unreadable)
+    store.write_projections(consolidate(events, keys, tie_breakers))
+    # A month is a directory; the listing says which ones exist.
+    completed = [m for m in wanted if store.has_projection(m)]
+    store.append_month_status(completed, COMPLETED, version)
     return completed
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.labels import version_label
+from tidemark.operators import normalize
 from tidemark.operators.delta import delta
 from tidemark.operators.enrich import enrich
 from tidemark.operators.fingerprint import source_changes
@@ -18,12 +19,13 @@ from tidemark.operators.watermark import (
     effective_cutoff,
     filter_newer,
     filter_newer_per_series,
+    narrow_scan,
     series_watermarks,
 )
 from tidemark.plans.consolidation import consolidate_months
-from tidemark.plans.publish import publish
-from tidemark.plans.registry import extractor_of, normalizer_of
-from tidemark.plans.repair import repair
+from tidemark.plans.publish import NO_ROWS, publish
+from tidemark.plans.registry import extractor_of, is_generic, normalizer_of
+from tidemark.plans.repair import repair_index, repair_months
 from tidemark.spec import DatasetSpec
 from tidemark.store import Month, SeriesStore, check_label
 
@@ -40,6 +42,20 @@ class RunResult:
     rows_total: int = 0
     months: tuple[Month, ...] = ()
     reason: str = ""
+    mended_months: tuple[Month, ...] = ()
+    counts: RowCounts | None = None
+
+
+@dataclass(frozen=True)
+class RowCounts:
+    """What became of the rows of one source, as far as the run read them."""
+
+    rows_read: int
+    rejected_time: int
+    rejected_value: int
+    not_newer: int
+    known: int
+    added: int
 
 
 def run_ingest(
@@ -56,6 +72,8 @@ def run_ingest(
     lag_days: int = 0,
     consolidate: bool = True,
     verify_index: bool = True,
+    batch: tuple[str, int] | None = None,
+    count_rows: bool = False,
 ) -> RunResult:
     """Extract, normalise, keep what is new, stamp, publish, rebuild touched months.
 
@@ -64,7 +82,14 @@ def run_ingest(
     later than the last version's latest time (``dataset``), than each series' own
     (``series``), or all rows (``off``), leaving the choice to the key index alone.
     ``verify_index`` counts the index against the manifest first, and rebuilds it if they
-    disagree.
+    disagree. Months whose read model an interrupted run left behind are rebuilt first,
+    whatever the source brings, if ``consolidate``. ``batch`` names the micro-batch behind
+    ``raw``, for the manifest.
+
+    A source of which every row was rejected for its time or value fails the run. With
+    ``count_rows`` the result tells what became of the rows, at the price of one more pass
+    over their times and values; rows that the scan already left out as too old are not
+    among them. Both need the library's own normaliser.
     """
     if watermark not in WATERMARK_SCOPES:
         raise ValueError(f"watermark must be one of {WATERMARK_SCOPES}")
@@ -73,11 +98,17 @@ def run_ingest(
     run_id = run_id or str(uuid.uuid4())
     store = SeriesStore(spark, root, spec.dataset_id)
 
+    mended: list[Month] = []
+
     def finished(reason: str) -> RunResult:
-        return RunResult(spec.dataset_id, run_id, version, False, reason=reason)
+        return RunResult(
+            spec.dataset_id, run_id, version, False, reason=reason, mended_months=tuple(mended)
+        )
 
     if verify_index:
-        repair(store, spec.timezone, spec.escape_separator)
+        repair_index(store, spec.timezone, spec.escape_separator)
+    if consolidate:
+        mended = repair_months(store)
     current = store.current_manifest()
     current_version = current.version if current else None
     check_label(version)
@@ -94,18 +125,26 @@ def run_ingest(
             store.discard(version)
             return finished("source unchanged")
 
-    rows = normalizer_of(spec)(spec, extractor_of(spec)(spec, raw))
     since = None
     if current is not None and watermark == "dataset" and current.outputs.max_obs_time:
-        rows = filter_newer(rows, current.outputs.max_obs_time, lag_days=lag_days)
         since = effective_cutoff(current.outputs.max_obs_time, lag_days)
+    extracted = extractor_of(spec)(spec, raw)
+    if is_generic(spec):
+        # Before anything is parsed or checked, so that the scan leaves old rows out.
+        extracted = narrow_scan(extracted, since, zone=spec.timezone)
+    rows = normalizer_of(spec)(spec, extracted)
+    if since is not None:
+        rows = filter_newer(rows, since)
     elif current is not None and watermark == "series":
         rows = filter_newer_per_series(rows, series_watermarks(store.events()), lag_days=lag_days)
 
     index = None
     if current is not None:
-        # Rows past the cutoff can only match index rows of its month or later.
-        index = store.index(since if "obs_time" in spec.primary_keys else None)
+        index = store.index()
+        if "obs_time" in spec.primary_keys:
+            # A hash can match nothing outside its own month: rows past the cutoff need its
+            # month and later ones, other rows their own months, which are few.
+            index = store.index(since, None if since else _months_of(rows))
     added = delta(rows, index, spec.primary_keys, spec.timezone, spec.escape_separator)
     result = publish(
         store,
@@ -118,9 +157,19 @@ def run_ingest(
         sources_stored=sources is not None,
         created_at=run_time,
         known_new=True,
+        batch=batch,
     )
+    counts = None
+    if is_generic(spec) and (count_rows or result.reason == NO_ROWS):
+        counts = _count(spec, extracted, since, result.rows_added)
+        rejected = counts.rejected_time + counts.rejected_value
+        if counts.rows_read and rejected == counts.rows_read:
+            raise ValueError(
+                f"no row of {rejected} is usable: {counts.rejected_time} without a readable time, "
+                f"{counts.rejected_value} without a readable value"
+            )
     if not result.published:
-        return finished(result.reason)
+        return replace(finished(result.reason), counts=counts if count_rows else None)
     if consolidate:
         consolidate_months(store, spec.primary_keys, _dated(result.months))
     return RunResult(
@@ -131,8 +180,29 @@ def run_ingest(
         result.rows_added,
         result.rows_total,
         result.months,
+        mended_months=tuple(mended),
+        counts=counts,
+    )
+
+
+def _count(spec: DatasetSpec, rows: DataFrame, since: datetime | None, added: int) -> RowCounts:
+    found = normalize.count_rows(rows, spec.timezone, spec.time_formats, since).first()
+    return RowCounts(
+        found.rows_read,
+        found.rejected_time,
+        found.rejected_value,
+        found.not_newer,
+        found.usable - added,
+        added,
     )
 
 
+def _months_of(rows: DataFrame) -> list[Month]:
+    """Calendar months of the rows; one column is read, one row a month comes back."""
+    time = F.col("obs_time")
+    months = rows.select(F.year(time).alias("year"), F.month(time).alias("month")).dropna().distinct()
+    return sorted((r.year, r.month) for r in months.collect())
+
+
 def _dated(months: Sequence[Month]) -> list[Month]:
     return [m for m in months if m[0] is not None]

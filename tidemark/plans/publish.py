@@ -12,6 +12,9 @@ from tidemark.operators.fingerprint import combined_fingerprint
 from tidemark.store import Month, SeriesStore, check_label
 
 
+NO_ROWS = "no new rows"
+
+
 @dataclass(frozen=True)
 class PublishResult:
     published: bool
@@ -34,6 +37,7 @@ def publish(
     sources_stored: bool = False,
     created_at: datetime | None = None,
     known_new: bool = False,
+    batch: tuple[str, int] | None = None,
 ) -> PublishResult:
     """Publish ``delta`` as ``version`` if the current version is still ``expected_current``.
 
@@ -41,7 +45,8 @@ def publish(
     hashes come from reading those files back, narrow columns only. That is a durable
     table, so a lost executor costs a task and never the delta. ``known_new`` says the
     delta has already been anti-joined with the index, ``sources_stored`` that the source
-    files of this version are already in their table.
+    files of this version are already in their table. ``batch`` is the stream and number of
+    the micro-batch behind the delta, for the manifest.
 
     Nothing is visible until the manifest row is written, as the last step. A failure
     before that removes what this call wrote and is raised again.
@@ -59,13 +64,13 @@ def publish(
         stats = store.stats_of(version, delta.schema)
         if stats.rows == 0:
             store.discard(version)
-            return PublishResult(False, version, reason="no new rows")
+            return PublishResult(False, version, reason=NO_ROWS)
 
         by_time = "obs_time" in keys
         known = None if known_new else store.index(stats.min_obs_time if by_time else None)
         events = store.read_written(version, delta.schema)
         new_keys = store.write_index(version, events, keys, zone, escape_separator, known)
-        rows_total = (current.outputs.rows_total if current else 0) + new_keys
+        rows_total = store.rows_total() + new_keys
 
         source = None
         if sources is not None:
@@ -84,6 +89,7 @@ def publish(
             keys,
             source,
             _aware(created_at or datetime.now(timezone.utc)),
+            batch,
         )
     except Exception:
         if store.current_version() != version:

@@ -51,8 +51,9 @@ def read_last_n_months(store: SeriesStore, n: int, today: date) -> DataFrame:
 
 
 def events_for_month(store: SeriesStore, year: int, month: int) -> DataFrame:
-    """All published rows of a month, every version of them."""
-    return store.events().where((F.col("year") == year) & (F.col("month") == month))
+    """All published rows of a month, every version of them. Only the directories of that
+    month are listed and read."""
+    return store.events_in([(year, month)])
 
 
 def audit_month(store: SeriesStore, year: int, month: int) -> DataFrame:

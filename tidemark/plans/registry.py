@@ -38,6 +38,11 @@ def normalizer_of(spec: DatasetSpec) -> Step:
     return _find(_normalizers, spec.plugin or spec.normalizer, "normalizer")
 
 
+def is_generic(spec: DatasetSpec) -> bool:
+    """Whether rows are normalised by the library's own normaliser."""
+    return normalizer_of(spec) is _generic
+
+
 def _named(name: str | None, kind: str) -> str:
     if not name:
         raise ValueError(f"a dataset must name its {kind}")

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.checks import ROW_TOLERANCE, consistency_report
-from tidemark.store import SeriesStore
+from tidemark.plans.consolidation import consolidate_months
+from tidemark.store import Month, SeriesStore
 
 
 def check_consistency(store: SeriesStore, tolerance: int = ROW_TOLERANCE) -> DataFrame:
-    return consistency_report(store.pointer(), store.manifests(), store.index(), tolerance)
+    expected = store.rows_total() if store.current_version() else None
+    return consistency_report(store.pointer(), store.manifests(), store.index(), tolerance, expected)
 
 
 def rebuild(
@@ -19,7 +21,8 @@ def rebuild(
     """Write the index anew from all committed events, as a new generation.
 
     The old generation stays in use until the new one is complete, so a failed rebuild
-    changes nothing. It also compacts: one directory in place of one per version.
+    changes nothing. It also compacts: one directory in place of one per version. The
+    number of keys it finds is the table's total from then on.
     Returns False if nothing is published.
     """
     manifest = store.current_manifest()
@@ -27,7 +30,7 @@ def rebuild(
         return False
     generation = store.index_generation() + 1
     events = store.events().where(F.col("version") <= manifest.version)
-    store.write_index(
+    keys = store.write_index(
         manifest.version,
         events,
         manifest["index"].key_columns,
@@ -36,7 +39,7 @@ def rebuild(
         known=None,
         generation=generation,
     )
-    store.append_generation(generation, manifest.version)
+    store.append_generation(generation, manifest.version, keys)
     return True
 
 
@@ -46,15 +49,33 @@ def repair(
     escape_separator: bool = False,
     tolerance: int = ROW_TOLERANCE,
 ) -> bool:
-    """Rebuild if something is published and the check fails; returns whether it did.
+    """Mend what an interrupted run or a lost index left; returns whether there was anything.
 
-    The same rule as ``check_consistency``, with the manifest already on the driver: one
-    count of the index, answered by its footers.
+    The index is rebuilt if the check fails, by the same rule as ``check_consistency``: one
+    count of the index, answered by its footers. Then the read model of every month that
+    has a committed version it was not built from is rebuilt.
     """
-    manifest = store.current_manifest()
-    if manifest is None:
+    mended = repair_index(store, zone, escape_separator, tolerance)
+    return bool(repair_months(store)) or mended
+
+
+def repair_index(
+    store: SeriesStore,
+    zone: str | None = None,
+    escape_separator: bool = False,
+    tolerance: int = ROW_TOLERANCE,
+) -> bool:
+    """Rebuild the index if something is published and the counts differ."""
+    if store.current_version() is None:
         return False
-    keys, expected = store.index().count(), manifest.outputs.rows_total
-    if keys and abs(keys - expected) <= tolerance:
+    keys = store.index().count()
+    if keys and abs(keys - store.rows_total()) <= tolerance:
         return False
     return rebuild(store, zone, escape_separator)
+
+
+def repair_months(store: SeriesStore) -> list[Month]:
+    """Rebuild the read model of the months that are due; returns those written."""
+    manifest = store.current_manifest()
+    due = store.due_months() if manifest is not None and manifest["index"] else []
+    return consolidate_months(store, manifest["index"].key_columns, due) if due else []

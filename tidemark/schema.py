@@ -54,6 +54,7 @@ INDEX_GENERATION = T.StructType(
     [
         T.StructField("generation", T.IntegerType()),
         T.StructField("built_at_version", T.StringType()),
+        T.StructField("rows_total", T.LongType()),
         T.StructField("stamp", T.TimestampType()),
     ]
 )
@@ -81,6 +82,11 @@ MANIFEST = T.StructType(
         T.StructField("dataset_id", T.StringType()),
         T.StructField("version", T.StringType()),
         T.StructField("created_at", T.TimestampType()),
+        # The micro-batch a version was made from, if any.
+        T.StructField(
+            "batch",
+            T.StructType([T.StructField("stream", T.StringType()), T.StructField("number", T.LongType())]),
+        ),
         T.StructField(
             "source",
             T.StructType(
@@ -156,6 +162,8 @@ MONTH_STATUS = T.StructType(
         T.StructField("year", T.IntegerType()),
         T.StructField("month", T.IntegerType()),
         T.StructField("status", T.StringType()),
+        # The newest version the month was, or is being, built from.
+        T.StructField("version", T.StringType()),
         T.StructField("stamp", T.TimestampType()),
     ]
 )

@@ -32,6 +32,16 @@ def has_entries(spark: SparkSession, path: str) -> bool:
     return bool(child_names(spark, path))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes one small file, replacing what is there."""
+    file_system, target = _file_system(spark, path)
+    stream = file_system.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     file_system, target = _file_system(spark, path)
     file_system.delete(target, True)

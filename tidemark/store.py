@@ -5,6 +5,7 @@
     key_index/generation=G/version=V/year=Y/month=MM/   key hashes added by version V
     index_generations/                         which generation is current
     source_files/version=V/                    hash of every source file V was made from
+    manifest_files/V/manifest.json             the manifest of version V for other tools
     manifests/                                 one row per version; writing it is the commit
     projections/year=Y/month=MM/               latest row per key, rebuilt per month
     month_status/                              log of month rebuilds
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schema as S
-from tidemark.functions.labels import two_digits
+from tidemark.functions.labels import MANIFEST_FOLDER, POINTER_SUFFIX, two_digits
 from tidemark.operators.delta import prune_index, rebuild_index
 from tidemark.operators.normalize import add_year_month
 from tidemark.sources.local import local_rows, no_rows
-from tidemark.sources.paths import child_names, has_entries, path_exists, remove_path
+from tidemark.sources.paths import child_names, has_entries, path_exists, remove_path, write_text
 from tidemark.sources.tabular import read_table
 
 _LABEL = re.compile(r"^[0-9A-Za-z._-]+$")
@@ -123,24 +124,16 @@ class SeriesStore:
         manifests = self.manifests() if manifests is None else manifests
         return manifests.select("version", F.inline("outputs.months"))
 
-    def keys_are_unique(self, keys: Sequence[str]) -> bool:
-        """Whether no key occurs twice in all published rows, as the manifests tell it.
+    def batch_versions(self, stream: str, number: int) -> list[str]:
+        """Versions made from one micro-batch; at most one."""
+        same = (F.col("batch.stream") == stream) & (F.col("batch.number") == number)
+        return [r.version for r in self.manifests().where(same).select("version").collect()]
 
-        Every version counts its rows and the keys new with it; if the sums agree, each
-        row brought a key of its own.
-        """
-        same = F.col("key_columns") == F.array(*[F.lit(k) for k in keys])
-        totals = (
-            self.manifests()
-            .select("version", "outputs.*", "index.key_columns")
-            .agg(
-                F.sum("rows_added_this_version").alias("rows"),
-                F.max_by("rows_total", "version").alias("keys"),
-                F.bool_and(same).alias("same"),
-            )
-            .first()
-        )
-        return bool(totals.same) and totals.rows == totals["keys"]
+    def versions_in(self, months: Sequence[Month]) -> list[tuple[str, Month]]:
+        """``(version, month)`` of the committed versions that have rows in these months,
+        from the manifests."""
+        rows = self.months_of().where(in_months(months)).select("version", "year", "month").distinct()
+        return sorted((r.version, (r.year, r.month)) for r in rows.collect())
 
     def append_manifest(
         self,
@@ -151,11 +144,13 @@ class SeriesStore:
         key_columns: Sequence[str],
         source: Row | None,
         created_at: datetime,
+        batch: tuple[str, int] | None = None,
     ) -> None:
         row = {
             "dataset_id": self.dataset_id,
             "version": version,
             "created_at": created_at,
+            "batch": {"stream": batch[0], "number": batch[1]} if batch else None,
             "source": source.asDict() if source else None,
             "outputs": {
                 "data_prefix": self.path("events", f"version={version}"),
@@ -173,8 +168,28 @@ class SeriesStore:
                 "hash_column": S.KEY_HASH,
             },
         }
+        self._write_manifest_json(row)
         self._append("manifests", [row], S.MANIFEST)
 
+    def _write_manifest_json(self, row: dict) -> None:
+        """The same for other tools, before the commit, so that no notice leads nowhere."""
+        outputs = row["outputs"]
+        folders = [
+            f"{outputs['data_prefix']}/year={m['year']}/month={m['month']:02d}"
+            for m in outputs["months"]
+            if m["year"] is not None
+        ]
+        counts = {k: outputs[k] for k in ("data_prefix", "rows_total", "rows_added_this_version")}
+        document = {
+            "dataset_id": row["dataset_id"],
+            "version": row["version"],
+            "created_at": row["created_at"].isoformat(),
+            "outputs": {**counts, "files": sorted(folders)},
+            "index": row["index"],
+        }
+        target = self.path(MANIFEST_FOLDER, row["version"], POINTER_SUFFIX)
+        write_text(self.spark, target, json.dumps(document, sort_keys=True))
+
     # ---- events ----------------------------------------------------------------------
 
     def write_events(self, version: str, delta: DataFrame) -> None:
@@ -242,6 +257,22 @@ class SeriesStore:
         rows = read_table(self.spark, target, full, skip_unreadable)
         return rows.where(self._is_committed(target)).select(*full.names)
 
+    def events_in(self, months: Sequence[Month], skip_unreadable: bool = False) -> DataFrame:
+        """All committed rows of some months. Only the directories that the manifests name
+        are listed and read, however many versions there are."""
+        body = self.event_schema()
+        full, table = _with_partitions(body), self.path("events")
+        paths = [
+            f"{table}/version={version}/year={year}/month={month:02d}"
+            for version, (year, month) in self.versions_in(months)
+        ]
+        if not paths:
+            return no_rows(self.spark, full)
+        reader = self.spark.read.schema(full).option("basePath", table)
+        if skip_unreadable:
+            reader = reader.option("ignoreCorruptFiles", True)
+        return reader.parquet(*paths).select(*full.names)
+
     def events_of(self, version: str) -> DataFrame:
         """Rows one committed version added; reads that version's directory alone."""
         manifest = self.manifests().where(F.col("version") == version)
@@ -271,16 +302,34 @@ class SeriesStore:
 
     # ---- key index -------------------------------------------------------------------
 
-    def index_generation(self) -> int:
+    def _generation(self) -> Row | None:
         if not path_exists(self.spark, self.path("index_generations")):
-            return 0
+            return None
         table = read_table(self.spark, self.path("index_generations"), S.INDEX_GENERATION)
-        return table.agg(F.max("generation")).first()[0] or 0
+        return table.agg(F.max_by(F.struct(*table.columns), "generation")).first()[0]
+
+    def index_generation(self) -> int:
+        newest = self._generation()
+        return newest.generation if newest else 0
 
-    def index(self, since: datetime | None = None) -> DataFrame:
-        """Hashes of committed versions; with ``since`` only of that month and later."""
+    def rows_total(self) -> int:
+        """Distinct keys published so far: what the newest manifest says, or the rebuild of
+        the index if that was later."""
+        manifest, newest = self.current_manifest(), self._generation()
+        if manifest is None:
+            return 0
+        rebuilt = newest is not None and newest.built_at_version == manifest.version
+        return newest.rows_total if rebuilt and newest.rows_total is not None else manifest.outputs.rows_total
+
+    def index(
+        self, since: datetime | None = None, months: Sequence[Month] | None = None
+    ) -> DataFrame:
+        """Hashes of committed versions; with ``since`` only of that month and later, with
+        ``months`` only of those."""
         target = self.path("key_index", f"generation={self.index_generation()}")
         rows = read_table(self.spark, target, S.KEY_INDEX).where(self._is_committed(target))
+        if months is not None:
+            rows = rows.where(in_months(months))
         return prune_index(rows, since)
 
     def write_index(
@@ -313,8 +362,13 @@ class SeriesStore:
             return 0
         return self.spark.read.schema(written).parquet(target).count()
 
-    def append_generation(self, generation: int, version: str) -> None:
-        row = {"generation": generation, "built_at_version": version, "stamp": _now()}
+    def append_generation(self, generation: int, version: str, rows_total: int) -> None:
+        row = {
+            "generation": generation,
+            "built_at_version": version,
+            "rows_total": rows_total,
+            "stamp": _now(),
+        }
         self._append("index_generations", [row], S.INDEX_GENERATION)
 
     # ---- source files ----------------------------------------------------------------
@@ -345,19 +399,47 @@ class SeriesStore:
         full = _with_partitions(self.event_schema())
         return read_table(self.spark, self.path("projections"), full).select(*full.names)
 
+    def has_projection(self, month: Month) -> bool:
+        year, number = month
+        return has_entries(self.spark, self.path("projections", f"year={year}", f"month={number:02d}"))
+
     # ---- month status ----------------------------------------------------------------
 
     def append_month_status(
-        self, months: Sequence[Month], status: str, stamp: datetime | None = None
+        self,
+        months: Sequence[Month],
+        status: str,
+        version: str | None = None,
+        stamp: datetime | None = None,
     ) -> None:
         if months:
-            common = {"dataset_id": self.dataset_id, "status": status, "stamp": stamp or _now()}
+            common = {
+                "dataset_id": self.dataset_id,
+                "status": status,
+                "version": version,
+                "stamp": stamp or _now(),
+            }
             rows = [{**common, "year": year, "month": month} for year, month in months]
             self._append("month_status", rows, S.MONTH_STATUS)
 
     def month_status_log(self) -> DataFrame:
         return read_table(self.spark, self.path("month_status"), S.MONTH_STATUS)
 
+    def due_months(self) -> list[Month]:
+        """Months with a committed version later than the one their read model was last
+        completed from: those of an interrupted run, and those never built."""
+        published = self.months_of().where("year IS NOT NULL").groupBy("year", "month").agg(
+            F.max("version").alias("published")
+        )
+        built = (
+            self.month_status_log()
+            .where(F.col("status") == COMPLETED)
+            .groupBy("year", "month")
+            .agg(F.max("version").alias("built"))
+        )
+        due = published.join(built, ["year", "month"], "left").where("built IS NULL OR built < published")
+        return sorted((r.year, r.month) for r in due.select("year", "month").collect())
+
     # ---- shared ----------------------------------------------------------------------
 
     def discard(self, version: str) -> None:
@@ -366,6 +448,7 @@ class SeriesStore:
         generation = self.index_generation()
         remove_path(self.spark, self.path("key_index", f"generation={generation}", f"version={version}"))
         remove_path(self.spark, self.path("source_files", f"version={version}"))
+        remove_path(self.spark, self.path(MANIFEST_FOLDER, version))
 
     def _discard_events(self, version: str) -> None:
         check_label(version)
@@ -394,6 +477,12 @@ class SeriesStore:
         local_rows(self.spark, rows, schema).coalesce(1).write.mode("append").parquet(self.path(table))
 
 
+def in_months(months: Sequence[Month]) -> Column:
+    """Predicate on the partition columns for a list of months."""
+    numbers = [year * 100 + month for year, month in months]
+    return (F.col("year") * 100 + F.col("month")).isin(numbers)
+
+
 def check_label(version: str) -> None:
     """A version label becomes a directory name, so it may hold no path characters."""
     if not _LABEL.match(version):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,7 @@ from workloads.views import (
     dirty_observations,
     event_observations,
     cents,
+    micros_text,
     order_observations,
     order_snapshot,
     scratch,
@@ -40,6 +41,10 @@ LINE_SERIES = (
 LINE_COLUMNS = ("l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
+# Folder of the workbooks, made once per session and data folder.
+_workbooks: dict[tuple[str, str], str] = {}
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS, "l_linenumber")
 
@@ -88,12 +93,16 @@ def source_changed(spark, sf_dir):
         {q.time_text('l_shipdate')} AS l_shipdate FROM lineitem"""
 )
 def cells_from_workbooks(spark, sf_dir):
-    """Line items put into workbooks by Spark tasks, read back as sheet rows."""
+    """Line items read as sheet rows from workbooks, which Spark tasks make beforehand."""
     days = F.date_diff(F.to_date("l_shipdate"), F.lit("1899-12-30").cast("date"))
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", days.alias("l_shipdate")
     )
-    rows = sheet_rows(workbooks_of(lines, "items", "l_shipdate")).where("row_idx > 0")
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _workbooks:
+        _workbooks[key] = f"{scratch(spark)}/workbooks"
+        workbooks_of(lines, "items", "l_shipdate").write.parquet(_workbooks[key])
+    rows = sheet_rows(spark.read.parquet(_workbooks[key])).where("row_idx > 0")
     types = ("bigint", "int", "double", "double", "string")
     return rows.select(
         *[F.get("cells", F.lit(i)).cast(t).alias(n) for i, (n, t) in enumerate(zip(lines.columns, types))]
@@ -158,15 +167,16 @@ def extract_series_multi(spark, sf_dir):
 
 @query(_DAILY)
 def extract_from_cells(spark, sf_dir):
-    """The same from loose cells, one table row per sheet row."""
-    lines = table(spark, sf_dir, "lineitem")
+    """The same from loose cells: an order is a file, its items are numbered rows."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *LINE_COLUMNS)
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", *LINE_COLUMNS)) - 1
     texts = F.array(*[F.col(c).cast("string") for c in LINE_COLUMNS])
     cells = lines.select(
-        F.hex(F.xxhash64(*lines.columns)).alias("path"),
+        F.col("l_orderkey").cast("string").alias("path"),
         F.lit("items").alias("sheet"),
-        F.col("l_linenumber").alias("row_idx"),
-        F.posexplode(texts).alias("col_idx", "value"),
-    )
+        number.alias("row_idx"),
+        texts.alias("texts"),
+    ).select("path", "sheet", "row_idx", F.posexplode("texts").alias("col_idx", "value"))
     return _daily(normalize.normalize(extract.extract_cells(cells, LINE_SERIES)))
 
 
@@ -177,6 +187,7 @@ CATEGORIES = CategorySpec(
     value_col="o_totalprice",
     mapping={"1-URGENT": "URGENT", "2-HIGH": "HIGH", "5-LOW": "LOW"},
     skip_headers=("5-LOW",),
+    start_data_row=0,
 )
 
 
@@ -195,8 +206,23 @@ def extract_by_category(spark, sf_dir):
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_linenumber >= 3")
 def skip_leading_rows(spark, sf_dir):
     """The line number is the row number of an order sheet; data begins at row 3."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return extract.skip_leading_rows(lines, 3, "l_linenumber")
+    spec = SeriesSpec("QUANTITY", "l_shipdate", "l_quantity", start_data_row=3, drop_na=False)
+    kept = ("l_orderkey", "l_linenumber")
+    rows = extract.extract_wide(table(spark, sf_dir, "lineitem"), [spec], "l_linenumber", "name", kept)
+    return rows.select(*kept, F.col("value").alias("l_quantity"))
+
+
+@query(
+    f"""SELECT l_orderkey, l_extendedprice AS value, {q.time_text('l_shipdate')} AS obs_time
+    FROM lineitem WHERE l_linenumber >= 2 AND l_linenumber < 5"""
+)
+def extract_row_window(spark, sf_dir):
+    """A header in row 1, data up to row 5."""
+    spec = SeriesSpec("PRICE", "l_shipdate", "l_extendedprice", header_row=1, end_row=5)
+    rows = extract.extract_wide(
+        table(spark, sf_dir, "lineitem"), [spec], "l_linenumber", "name", ("l_orderkey",)
+    )
+    return rows.select("l_orderkey", "value", time_text("obs_time").alias("obs_time"))
 
 
 @query(f"WITH {q.DIRTY} SELECT event_id, value FROM dirty WHERE obs_time IS NOT NULL AND value IS NOT NULL")
@@ -209,10 +235,25 @@ def drop_missing(spark, sf_dir):
 # ---- normalisation -----------------------------------------------------------------------
 
 
-@query(f"WITH {q.DIRTY} SELECT event_id, {q.time_text('obs_time')} AS obs_time FROM dirty")
+@query(f"WITH {q.DIRTY} SELECT event_id, {q.micros_text('obs_time')} AS obs_time FROM dirty")
 def coerce_dates(spark, sf_dir):
     typed = normalize.coerce_dates(dirty_observations(spark, sf_dir))
-    return typed.select("event_id", F.substring(time_text("obs_time"), 1, 19).alias("obs_time"))
+    return typed.select("event_id", micros_text("obs_time").alias("obs_time"))
+
+
+@query(
+    f"""SELECT event_id, {q.micros_text(
+        "ts - CASE WHEN event_type = 'click' THEN INTERVAL 3 HOUR ELSE INTERVAL 8 HOUR END"
+    )} AS obs_time FROM events"""
+)
+def coerce_dates_zoned(spark, sf_dir):
+    """Text with a zone becomes the wall clock of the dataset, three hours behind UTC."""
+    zone = F.when(F.col("event_type") == "click", "Z").otherwise("+05:00")
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", F.concat(F.col("ts").cast("timestamp_ntz").cast("string"), zone).alias("obs_time")
+    )
+    typed = normalize.coerce_dates(rows, zone=ZONE)
+    return typed.select("event_id", micros_text("obs_time").alias("obs_time"))
 
 
 @query(f"WITH {q.DIRTY} SELECT event_id, value FROM dirty")
@@ -233,13 +274,13 @@ def localize_utc(spark, sf_dir):
 
 
 @query(
-    f"""WITH {q.DIRTY} SELECT event_id, internal_series_code, value, {q.time_text('obs_time')} AS obs_time
+    f"""WITH {q.DIRTY} SELECT event_id, internal_series_code, value, {q.micros_text('obs_time')} AS obs_time
     FROM dirty WHERE obs_time IS NOT NULL AND value IS NOT NULL"""
 )
 def normalize_rows(spark, sf_dir):
     rows = normalize.normalize(dirty_observations(spark, sf_dir), zone=ZONE)
     return rows.select(
-        "event_id", "internal_series_code", "value", F.substring(time_text("obs_time"), 1, 19).alias("obs_time")
+        "event_id", "internal_series_code", "value", micros_text("obs_time").alias("obs_time")
     )
 
 

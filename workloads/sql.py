@@ -9,6 +9,10 @@ def time_text(expression: str) -> str:
     return f"strftime({expression}, '%Y-%m-%d %H:%M:%S')"
 
 
+def micros_text(expression: str) -> str:
+    return f"strftime({expression}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
 def cents(expression: str) -> str:
     return f"CAST(SUM(CAST(round({expression} * 100) AS BIGINT)) AS BIGINT)"
 

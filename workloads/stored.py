@@ -6,12 +6,28 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from tidemark import SeriesStore, change_feed, check_consistency, publish, rebuild, stream_ingest
+from pyspark.sql import types as T
+
+from tidemark import (
+    DatasetSpec,
+    SeriesStore,
+    change_feed,
+    check_consistency,
+    consolidate_months,
+    publish,
+    register_extractor,
+    register_normalizer,
+    repair,
+    run_ingest,
+    stream_ingest,
+)
 from tidemark.functions.labels import version_of_path
 from tidemark.operators.delta import delta, rebuild_index as distinct_keys
 from tidemark.operators.enrich import enrich
 from tidemark.plans import reads
+from tidemark.sources.local import local_rows
+from tidemark.sources.paths import remove_path
+from tidemark.sources.tabular import read_manifest_json
 from tidemark.store import latest_month_status
 from workloads import sql as q
 from workloads.registry import query
@@ -22,6 +38,8 @@ from workloads.views import (
     ZONE,
     build_order_store,
     cents,
+    dirty_observations,
+    line_observations,
     order_observations,
     order_snapshot,
     order_store,
@@ -156,8 +174,8 @@ def month_version_index(spark, sf_dir):
 @query(
     f"""WITH {q.OBS_O}, v AS (SELECT DISTINCT version FROM obs_o)
     SELECT 'DATASET_UPDATED' AS type, 'orders' AS dataset_id, version,
-        'orders/events/' || version || '/manifest.json' AS manifest_pointer, 'orders' AS group_id,
-        sha256('orders/events/' || version || '/manifest.json') AS deduplication_id
+        'orders/manifest_files/' || version || '/manifest.json' AS manifest_pointer, 'orders' AS group_id,
+        sha256('orders/manifest_files/' || version || '/manifest.json') AS deduplication_id
     FROM v WHERE version > '{VERSIONS[0]}'""",
     name="change_feed",
 )
@@ -165,6 +183,18 @@ def change_notices(spark, sf_dir):
     return change_feed(order_store(spark, sf_dir).manifests(), VERSIONS[0]).drop("timestamp")
 
 
+@query(f"SELECT dataset_id, version, rows_added, rows_total FROM ({_SUMMARY}), (SELECT 'orders' AS dataset_id)")
+def manifest_files(spark, sf_dir):
+    """The JSON manifests of the versions."""
+    store = order_store(spark, sf_dir)
+    return read_manifest_json(spark, store.path("manifest_files", "*", "manifest.json")).select(
+        "dataset_id",
+        "version",
+        F.col("outputs.rows_added_this_version").alias("rows_added"),
+        F.col("outputs.rows_total").alias("rows_total"),
+    )
+
+
 @query(f"WITH {q.OBS_O} SELECT DISTINCT year, month, 'completed' AS status FROM obs_o")
 def month_status(spark, sf_dir):
     return latest_month_status(order_store(spark, sf_dir).month_status_log()).drop("dataset_id")
@@ -208,9 +238,10 @@ def index_consistency(spark, sf_dir):
     f"""SELECT 1 AS generation, COUNT(DISTINCT {q.STORED_HASH}) AS keys, TRUE AS consistent FROM orders"""
 )
 def repair_index(spark, sf_dir):
-    """A store of its own, its index rebuilt into a new generation."""
+    """A store of its own that lost part of its index, which a repair finds and rebuilds."""
     store = build_order_store(spark, sf_dir, scratch(spark))
-    rebuild(store, ZONE)
+    remove_path(spark, store.path("key_index", "generation=0", f"version={VERSIONS[1]}"))
+    repair(store, ZONE)
     report = check_consistency(store).select(F.col("actual").alias("keys"), "consistent")
     return report.withColumn("generation", F.lit(store.index_generation()))
 
@@ -317,3 +348,144 @@ def streamed_ingest(spark, sf_dir):
     return store.projections().agg(
         F.count(F.lit(1)).alias("n"), cents("value").alias("total_cents")
     ).select("*", keys.scalar().alias("keys"))
+
+
+_TOTALS = f"""WITH {q.OBS_O} SELECT COUNT(*) AS n, COUNT(*) AS events, {q.cents('value')} AS total_cents FROM obs_o"""
+
+
+@query(_TOTALS)
+def stream_after_load(spark, sf_dir):
+    """A first load whose run time is later than the stream's origin, the next snapshot as a
+    stream, then the last one under a new checkpoint. No row is lost, none comes twice."""
+    root = scratch(spark)
+    late = datetime(2025, 1, 1, tzinfo=timezone.utc)
+    run_ingest(spark, ORDERS, order_snapshot(spark, sf_dir, 0), f"{root}/store", run_time=late)
+    for number in (1, 2):
+        order_snapshot(spark, sf_dir, number).write.parquet(f"{root}/landing-{number}")
+        stream = spark.readStream.schema(order_observations(spark, sf_dir).schema).parquet(f"{root}/landing-{number}")
+        origin = datetime(2024, 1, 1, tzinfo=timezone.utc)
+        writer = stream_ingest(stream, ORDERS, f"{root}/store", f"{root}/checkpoint-{number}", origin)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    store = SeriesStore(spark, f"{root}/store", "orders")
+    events = store.events().agg(F.count(F.lit(1)).alias("events"))
+    return store.projections().agg(F.count(F.lit(1)).alias("n"), cents("value").alias("total_cents")).select(
+        "*", events.scalar().alias("events")
+    )
+
+
+@query(_BY_MONTH)
+def repair_months(spark, sf_dir):
+    """Runs that ended before their read model was built, and a repair."""
+    root = scratch(spark)
+    for number in range(3):
+        run_ingest(
+            spark, ORDERS, order_snapshot(spark, sf_dir, number), root, run_time=run_time(number), consolidate=False
+        )
+    store = SeriesStore(spark, root, "orders")
+    repair(store, ZONE)
+    return _by_month(store.projections())
+
+
+LINE_KEYS = ("obs_time", "internal_series_code")
+
+
+@query(
+    f"""WITH {q.OBS_L}, versioned AS (
+        SELECT *, CASE WHEN l.version <= 'v2' THEN 'v1' WHEN l.version <= 'v4' THEN 'v2' ELSE 'v3' END AS published
+        FROM obs_l l)
+    SELECT internal_series_code, {q.time_text('obs_time')} AS obs_time, published AS version, value, order_key
+    FROM versioned QUALIFY row_number() OVER (PARTITION BY internal_series_code, obs_time
+        ORDER BY published DESC, value DESC, order_key DESC) = 1"""
+)
+def store_dedup(spark, sf_dir):
+    """Line items keyed by series and ship date, in three versions: most keys come in all of
+    them, and many times in each; the read model has the latest row of each key."""
+    store = SeriesStore(spark, scratch(spark), "lines")
+    lines = line_observations(spark, sf_dir)
+    parts = {"v1": ("v1", "v2"), "v2": ("v3", "v4"), "v3": ("v5", "v6", "v7")}
+    expected = None
+    for version, numbers in parts.items():
+        rows = lines.where(F.col("version").isin(*numbers)).select(*LINE_KEYS, "value", "order_key")
+        publish(store, rows.withColumn("version", F.lit(version)), version, LINE_KEYS, expected)
+        expected = version
+    consolidate_months(store, LINE_KEYS)
+    return store.projections().select(
+        "internal_series_code", time_text("obs_time").alias("obs_time"), "version", "value", "order_key"
+    )
+
+
+@query(
+    f"""WITH {q.OBS_O}, marks AS (
+        SELECT internal_series_code, MAX(obs_time) AS mark FROM obs_o WHERE obs_time < '1998-01-01' GROUP BY ALL)
+    SELECT order_key, value FROM obs_o JOIN marks USING (internal_series_code) WHERE obs_time > mark"""
+)
+def ingest_per_series(spark, sf_dir):
+    """The rows a second run adds when each series has its own watermark."""
+    root = scratch(spark)
+    for number, rows in ((0, order_snapshot(spark, sf_dir, 0)), (1, order_observations(spark, sf_dir))):
+        run_ingest(spark, ORDERS, rows, root, run_time=run_time(number), watermark="series")
+    store = SeriesStore(spark, root, "orders")
+    return reads.version_delta(store, VERSIONS[1]).select("order_key", "value")
+
+
+@query(
+    f"""WITH {q.DIRTY}, mark AS (
+        SELECT MAX(obs_time) AS mark FROM dirty WHERE obs_time < '2024-01-15' AND value IS NOT NULL)
+    SELECT COUNT(*) AS rows_read, COUNT(*) FILTER (obs_time IS NULL) AS rejected_time,
+        COUNT(*) FILTER (obs_time IS NOT NULL AND value IS NULL) AS rejected_value,
+        COUNT(*) FILTER (value IS NOT NULL AND obs_time <= mark) AS not_newer, CAST(0 AS BIGINT) AS known,
+        COUNT(*) FILTER (value IS NOT NULL AND obs_time > mark) AS added FROM dirty, mark"""
+)
+def ingest_counts(spark, sf_dir):
+    """What became of the rows of a dirty source in the second of two runs."""
+    spec = DatasetSpec("dirty", ("obs_time", "event_id"), frequency="D")
+    root, rows = scratch(spark), dirty_observations(spark, sf_dir)
+    run_ingest(spark, spec, rows.where("obs_time < '2024-01-15'"), root, run_time=run_time(0))
+    result = run_ingest(spark, spec, rows, root, run_time=run_time(1), count_rows=True)
+    names = ("rows_read", "rejected_time", "rejected_value", "not_newer", "known", "added")
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
+    return local_rows(spark, [{n: getattr(result.counts, n) for n in names}], schema)
+
+
+@query(
+    f"""WITH {q.OBS_O} SELECT 'csv' AS form, COUNT(*) AS n, {q.cents('value')} AS total_cents FROM obs_o WHERE year = 1996
+    UNION ALL SELECT 'parquet', COUNT(*), {q.cents('value')} FROM obs_o WHERE year = 1996"""
+)
+def export_roundtrip(spark, sf_dir):
+    """A year of the read model, written as CSV and as Parquet and read back."""
+    rows = reads.read_year(order_store(spark, sf_dir), 1996).select("order_key", "value")
+    folder = scratch(spark)
+    csv, parquet = (reads.export(rows, f"{folder}/year.{form}") for form in ("csv", "parquet"))
+    back = {
+        "csv": spark.read.option("header", True).schema(rows.schema).csv(csv),
+        "parquet": spark.read.schema(rows.schema).parquet(parquet),
+    }
+    totals = [
+        df.agg(F.count(F.lit(1)).alias("n"), cents("value").alias("total_cents")).select(F.lit(form).alias("form"), "*")
+        for form, df in back.items()
+    ]
+    return totals[0].union(totals[1])
+
+
+@query(
+    f"""SELECT o_orderkey AS order_key, CAST(o_custkey AS DOUBLE) AS value, 'CUSTOMER' AS internal_series_code,
+        {q.time_text("o_orderdate + INTERVAL 1 DAY")} AS obs_time FROM orders"""
+)
+def ingest_with_plugin(spark, sf_dir):
+    """An extractor and a normaliser of one's own in a whole run."""
+    register_extractor(
+        "customers",
+        lambda spec, df: df.select(
+            F.col("o_orderdate").alias("obs_time"),
+            F.col("o_custkey").cast("double").alias("value"),
+            F.lit("CUSTOMER").alias("internal_series_code"),
+            F.col("o_orderkey").alias("order_key"),
+        ),
+    )
+    register_normalizer("customers", lambda spec, df: df.withColumn("obs_time", F.expr("obs_time + INTERVAL 1 DAY")))
+    spec = DatasetSpec("customers", ("obs_time", "order_key"), frequency="D", plugin="customers")
+    root = scratch(spark)
+    run_ingest(spark, spec, table(spark, sf_dir, "orders"), root, run_time=run_time(0))
+    return SeriesStore(spark, root, "customers").projections().select(
+        "order_key", "value", "internal_series_code", time_text("obs_time").alias("obs_time")
+    )

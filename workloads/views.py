@@ -121,6 +121,10 @@ def time_text(name: str):
     return F.col(name).cast("string")
 
 
+def micros_text(name: str):
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
 def cents(name: str):
     """Sum of a two-decimal amount in whole cents, so the order of addition is no matter."""
     return F.sum(F.round(F.col(name) * 100).cast("bigint"))
