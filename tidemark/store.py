@@ -132,8 +132,8 @@ class SeriesStore:
     def versions_in(self, months: Sequence[Month]) -> list[tuple[str, Month]]:
         """``(version, month)`` of the committed versions that have rows in these months,
         from the manifests."""
-        rows = self.months_of().where(in_months(months)).select("version", "year", "month").distinct()
-        return sorted((r.version, (r.year, r.month)) for r in rows.collect())
+        rows = self.months_of().where(in_months(months)).select("version", "year", "month")
+        return sorted({(r.version, (r.year, r.month)) for r in rows.collect()})
 
     def append_manifest(
         self,
@@ -169,7 +169,12 @@ class SeriesStore:
             },
         }
         self._write_manifest_json(row)
+        labels, _ = self._manifest_state()
         self._append("manifests", [row], S.MANIFEST)
+        files = frozenset(child_names(self.spark, self.path("manifests")))
+        if len(files - self._seen[0]) == 1:
+            # What was just written, and nothing else, is new: it need not be read again.
+            self._seen = (files, [*labels, version], _as_row(row, S.MANIFEST))
 
     def _write_manifest_json(self, row: dict) -> None:
         """The same for other tools, before the commit, so that no notice leads nowhere."""
@@ -428,16 +433,16 @@ class SeriesStore:
     def due_months(self) -> list[Month]:
         """Months with a committed version later than the one their read model was last
         completed from: those of an interrupted run, and those never built."""
-        published = self.months_of().where("year IS NOT NULL").groupBy("year", "month").agg(
-            F.max("version").alias("published")
-        )
-        built = (
-            self.month_status_log()
-            .where(F.col("status") == COMPLETED)
+        none = F.lit(None).cast("string")
+        published = self.months_of().where("year IS NOT NULL")
+        built = self.month_status_log().where(F.col("status") == COMPLETED)
+        due = (
+            published.select("year", "month", F.col("version").alias("published"), none.alias("built"))
+            .union(built.select("year", "month", none, "version"))
             .groupBy("year", "month")
-            .agg(F.max("version").alias("built"))
+            .agg(F.max("published").alias("published"), F.max("built").alias("built"))
+            .where("published IS NOT NULL AND (built IS NULL OR built < published)")
         )
-        due = published.join(built, ["year", "month"], "left").where("built IS NULL OR built < published")
         return sorted((r.year, r.month) for r in due.select("year", "month").collect())
 
     # ---- shared ----------------------------------------------------------------------
@@ -477,6 +482,17 @@ class SeriesStore:
         local_rows(self.spark, rows, schema).coalesce(1).write.mode("append").parquet(self.path(table))
 
 
+def _as_row(value: object, data_type: T.DataType) -> object:
+    """A nested mapping as the row that reading it back would give."""
+    if value is None:
+        return None
+    if isinstance(data_type, T.StructType):
+        return Row(**{f.name: _as_row(value.get(f.name), f.dataType) for f in data_type.fields})
+    if isinstance(data_type, T.ArrayType):
+        return [_as_row(v, data_type.elementType) for v in value]
+    return value
+
+
 def in_months(months: Sequence[Month]) -> Column:
     """Predicate on the partition columns for a list of months."""
     numbers = [year * 100 + month for year, month in months]
