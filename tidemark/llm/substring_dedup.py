@@ -36,7 +36,8 @@ def anchors(text: str | None, window: int = WINDOW, seed: int = SEED) -> tuple[n
 
     The anchor of a window is its seed of smallest hash, the leftmost if several are equal, so
     equal windows have equal anchors in equal places. Neighbouring windows with one anchor
-    form a stretch, and each window lies in exactly one.
+    form a stretch, and each window lies in exactly one. Where a text repeats itself, equal
+    stretches that follow each other are one entry: what holds for one holds for all.
     """
     words, joined, starts, ends = _words(text)
     n = len(words) - window + 1
@@ -62,7 +63,10 @@ def anchors(text: str | None, window: int = WINDOW, seed: int = SEED) -> tuple[n
         np.uint64,
         len(first),
     )
-    return mixed[place[first]].view(np.int64), stretches.view(np.int64), first, last
+    seeds = mixed[place[first]]
+    other = np.flatnonzero(np.concatenate(([True], (np.diff(seeds) != 0) | (np.diff(stretches) != 0))))
+    last = last[np.append(other[1:], len(first)) - 1]
+    return seeds[other].view(np.int64), stretches[other].view(np.int64), first[other], last
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -151,21 +155,28 @@ def repeats(
        the smallest repeat them.
 
     No step pairs the rows of a group: each takes its smallest id, combined before the
-    shuffle, and gives it back to the rows by a join whose skew Spark splits. A passage that
-    very many documents share costs one row per document and anchor.
+    shuffle, and gives it back to the rows by a join. The smallest ids are written first, so
+    that the join has both its sides straight from a shuffle, and Spark can split the rows of
+    a key that very many have. A passage that very many documents share costs one row per
+    document and anchor.
     """
     rows = _keyed(docs, id_col, text_col)
     found = _anchor_rows(rows, window, seed)
-    shared = (
+    shared = written(
         found.groupBy("seed")
         .agg(*(f(c).alias(f"{n}_{c}") for c in ("id", "stretch") for n, f in (("min", F.min), ("max", F.max))))
         .where("min_id <> max_id")
         .select("seed", (F.col("min_stretch") != F.col("max_stretch")).alias("differs"))
     )
     met = written(found.join(shared, "seed"))
-    least = met.groupBy("seed", "stretch").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    least = written(
+        met.groupBy("seed", "stretch")
+        .agg(F.min("id").alias("least"), F.max("id").alias("most"))
+        .where("least <> most")
+        .drop("most")
+    )
     judged = written(
-        met.join(least.where("least <> most").drop("most"), ["seed", "stretch"], "left")
+        met.join(least, ["seed", "stretch"], "left")
         .withColumn("whole", F.coalesce(F.col("id") > F.col("least"), F.lit(False)))
         .where("whole or differs")
         .select("id", "key", "first", "last", "whole")
@@ -174,7 +185,7 @@ def repeats(
         F.collect_list(F.struct("first", "last")).alias("open")
     )
     windows = _window_rows(rows.join(open_rows, ["id", "key"]).select("id", "key", "text", "open"), window)
-    smallest = (
+    smallest = written(
         windows.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
     )
     single = (
