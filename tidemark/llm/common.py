@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,23 +42,3 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     path = folder or shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def per_row(
-    convert: Callable[..., dict[str, object] | list[dict[str, object]]], schema: pa.Schema
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Batches in, batches out: ``convert`` gets one row's values and gives one row or a list
-    of rows. Spark bounds the bytes of the batches it sends; what goes back is cut likewise."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[dict[str, object]] = []
-            for row in zip(*(column for column in batch.columns)):
-                made = convert(*(value.as_py() for value in row))
-                out.extend(made if isinstance(made, list) else [made])
-                if len(out) >= 4096:
-                    yield pa.RecordBatch.from_pylist(out, schema=schema)
-                    out = []
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
-
-    return run
