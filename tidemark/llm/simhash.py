@@ -159,12 +159,16 @@ def near_classes(
     roots = connected_components(pairs)
     ends = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp")))
     linked = ends.groupBy("fp").agg(F.count(F.lit(1)).alias("links"))
-    rooted = (
+    rooted = written(
         nodes.join(linked, "fp", "left")
         .join(roots.withColumnRenamed("node", "fp"), "fp", "left")
         .withColumn("root", F.coalesce("root", "fp"))
     )
-    whole = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("component_size"))
+    # Written, so that the join has both sides straight from a shuffle and Spark can split the
+    # fingerprints of a component that holds very many.
+    whole = written(
+        rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("component_size"))
+    )
     named = rooted.join(whole, "root").select(
         "fp", "component_id", "component_size", F.coalesce("links", F.lit(0)).cast("bigint").alias("links")
     )
