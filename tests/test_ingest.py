@@ -90,6 +90,19 @@ def test_watermark_scopes(spark, root):
     assert everything.rows_added == 1
 
 
+def test_series_marks_read_new_versions_only(spark, root):
+    store = SeriesStore(spark, root, "d1")
+    assert store.series_marks().count() == 0
+    marks = lambda: {r.internal_series_code: r.max_obs_time.hour for r in store.series_marks().collect()}
+    run(spark, root, hourly(spark, ("ridge", "valley"), 6), "2021-09-01T00:00:00+00:00")
+    assert marks() == {"ridge": 5, "valley": 5}
+    second = run(spark, root, hourly(spark, ("ridge", "coast"), 9), "2021-09-02T00:00:00+00:00", watermark="series")
+    assert second.rows_added == 3 + 9
+    files = store.events_since("2021-09-01T00-00-00").inputFiles()
+    assert files and all(f"version={second.version}" in f for f in files)
+    assert marks() == {"ridge": 8, "valley": 5, "coast": 8}
+
+
 def test_lag_days_lets_late_rows_in_once(spark, root):
     run(spark, root, observations(spark, [("2024-01-10", "A", 1.0)]), "2024-04-01T00:00:00+00:00")
     late = observations(spark, [("2024-01-05", "A", 2.0), ("2024-01-10", "A", 1.0), ("2024-01-01", "A", 3.0)])

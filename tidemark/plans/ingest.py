@@ -20,7 +20,6 @@ from tidemark.operators.watermark import (
     filter_newer,
     filter_newer_per_series,
     narrow_scan,
-    series_watermarks,
 )
 from tidemark.plans.consolidation import consolidate_months
 from tidemark.plans.publish import NO_ROWS, publish
@@ -136,7 +135,7 @@ def run_ingest(
     if since is not None:
         rows = filter_newer(rows, since)
     elif current is not None and watermark == "series":
-        rows = filter_newer_per_series(rows, series_watermarks(store.events()), lag_days=lag_days)
+        rows = filter_newer_per_series(rows, store.series_marks(), lag_days=lag_days)
 
     index = None
     if current is not None:

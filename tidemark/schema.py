@@ -50,6 +50,10 @@ KEY_INDEX = T.StructType(
     ]
 )
 
+SERIES_MARK = T.StructType(
+    [T.StructField(SERIES, T.StringType()), T.StructField("max_obs_time", T.TimestampNTZType())]
+)
+
 INDEX_GENERATION = T.StructType(
     [
         T.StructField("generation", T.IntegerType()),

@@ -5,6 +5,7 @@
     key_index/generation=G/version=V/year=Y/month=MM/   key hashes added by version V
     index_generations/                         which generation is current
     source_files/version=V/                    hash of every source file V was made from
+    series_marks/version=V/                    latest time per series as of V, if asked for
     manifest_files/V/manifest.json             the manifest of version V for other tools
     manifests/                                 one row per version; writing it is the commit
     projections/year=Y/month=MM/               latest row per key, rebuilt per month
@@ -305,6 +306,39 @@ class SeriesStore:
             rows = rows.withColumns({c: F.lit(None).cast("int") for c in ("year", "month")})
         return rows.select(*full.names)
 
+    def series_marks(self) -> DataFrame:
+        """Latest observation time of each series, ``(series, max_obs_time)``.
+
+        Kept as a small table per version that asked for it: the one before it and the
+        events published since are reduced to the next, so no history is read again.
+        """
+        current = self.current_version()
+        if current is None:
+            return no_rows(self.spark, S.SERIES_MARK)
+        base = self.path("series_marks")
+        known = {name.removeprefix("version=") for name in child_names(self.spark, base)}
+        built = known.intersection(self.versions())
+        before = max((v for v in built if has_entries(self.spark, f"{base}/version={v}")), default=None)
+        if before != current:
+            fresh = self.events_since(before).select(*S.SERIES_MARK.names[:1], F.col("obs_time").alias("max_obs_time"))
+            if before is not None:
+                fresh = fresh.union(self._marks_of(before))
+            marks = fresh.groupBy(S.SERIES).agg(F.max("max_obs_time").alias("max_obs_time"))
+            marks.write.mode("overwrite").parquet(f"{base}/version={current}")
+        return self._marks_of(current)
+
+    def _marks_of(self, version: str) -> DataFrame:
+        return self.spark.read.schema(S.SERIES_MARK).parquet(self.path("series_marks", f"version={version}"))
+
+    def events_since(self, version: str | None) -> DataFrame:
+        """Rows of the committed versions later than one; only their directories are listed."""
+        full, table = _with_partitions(self.event_schema()), self.path("events")
+        later = [v for v in self.versions() if version is None or v > version]
+        paths = [p for p in (f"{table}/version={v}" for v in later) if path_exists(self.spark, p)]
+        if not paths:
+            return no_rows(self.spark, full)
+        return self.spark.read.schema(full).option("basePath", table).parquet(*paths).select(*full.names)
+
     # ---- key index -------------------------------------------------------------------
 
     def _generation(self) -> Row | None:
