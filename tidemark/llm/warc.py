@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import written
+
 # Payloads shorter than this are always written as responses.
 LEAST_BYTES = 0
 # Payload bytes per archive file, about; a file is read by one task.
@@ -68,9 +70,15 @@ def page_records(
     )
     heads = rows.select("page_id", "payload_bytes", "payload_digest")
     same = ["payload_digest", "payload_bytes"]
-    first = heads.groupBy(*same).agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("times"))
+    # Written, so that the join has both sides straight from a shuffle and Spark can split the
+    # headers of a payload that very many pages share.
+    first = written(
+        heads.groupBy(*same)
+        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("times"))
+        .where(F.col("times") > 1)
+    )
     revisits = (
-        heads.join(first.where(F.col("times") > 1), same)
+        heads.join(first, same)
         .where((F.col("payload_bytes") >= least_bytes) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")))
         .select(F.struct("page_id", "payload_digest").alias("key"), F.col("first").alias("refers_to"))
         .distinct()
