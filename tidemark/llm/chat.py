@@ -145,7 +145,8 @@ def format_chats(messages: DataFrame, schemas: Schemas) -> DataFrame:
     )
     depths = call_depths(one_call.withColumn("needs", F.coalesce("needs", F.array().cast("array<string>"))))
     first_result = results.groupBy("chat", "call_id").agg(F.min(F.struct("turn_at", F.xxhash64("role", "text").alias("content"))).alias("result"))
-    known = (
+    # Written, so that Spark can split the steps of an id that very many have.
+    known = written(
         first_call.join(depths, ["chat", "call_id"], "left")
         .join(first_result, ["chat", "call_id"], "full_outer")
         .select("chat", "call_id", "call", "result", "place", "depth")
