@@ -167,9 +167,9 @@ def extract_series_multi(spark, sf_dir):
 
 @query(_DAILY)
 def extract_from_cells(spark, sf_dir):
-    """The same from loose cells: an order is a file, its items are numbered rows."""
+    """The same from loose cells: an order is a file, its items are the rows after a header."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *LINE_COLUMNS)
-    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", *LINE_COLUMNS)) - 1
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", *LINE_COLUMNS))
     texts = F.array(*[F.col(c).cast("string") for c in LINE_COLUMNS])
     cells = lines.select(
         F.col("l_orderkey").cast("string").alias("path"),
