@@ -210,14 +210,16 @@ def take(
     source_col: str = "source",
     **options: object,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, each as many times as the mix takes it. Rows equal
-    in id and text share the largest of their numbers of copies."""
+    """The rows of ``docs``, all columns, each as many times as the mix takes it, in the order
+    of training: range-partitioned and sorted by the position of the copy, then id and copy.
+    Rows equal in id and text share the largest of their numbers of copies, and its positions."""
     mixed = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
     key = lambda id_value, content: F.struct(id_value.alias("id"), content.alias("content"))
     copies = (
-        mixed.groupBy(key(F.col(f"`{id_col}`"), F.col("content")).alias("key"))
-        .agg(F.max("copies").alias("copies"))
-        .where("copies > 0")
+        mixed.where("copies > 0")
+        .groupBy(key(F.col(f"`{id_col}`"), F.col("content")).alias("key"))
+        .agg(F.max(F.struct("copies", "positions")).alias("most"))
+        .select("key", "most.positions")
     )
     row = docs.select(
         F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("row"),
@@ -225,6 +227,8 @@ def take(
     )
     return (
         row.join(copies, "key")
-        .select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
+        .select("row", F.col("key.id").alias("id"), F.posexplode("positions").alias("copy", "position"))
+        .repartitionByRange("position", "id", "copy")
+        .sortWithinPartitions("position", "id", "copy")
         .select(*(F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)))
     )
