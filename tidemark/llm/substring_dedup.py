@@ -180,11 +180,14 @@ def repeats(
         .withColumn("whole", F.coalesce(F.col("id") > F.col("least"), F.lit(False)))
         .where("whole or differs")
         .select("id", "key", "first", "last", "whole")
+        .distinct()
     )
     open_rows = judged.where("not whole").groupBy("id", "key").agg(
         F.collect_list(F.struct("first", "last")).alias("open")
     )
-    windows = _window_rows(rows.join(open_rows, ["id", "key"]).select("id", "key", "text", "open"), window)
+    # Rows equal in id and text have the same windows, so one of them stands for all.
+    texts = rows.join(judged.where("not whole"), ["id", "key"], "left_semi").distinct()
+    windows = _window_rows(texts.join(open_rows, ["id", "key"]).select("id", "key", "text", "open"), window)
     smallest = written(
         windows.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
     )
