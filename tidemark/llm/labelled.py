@@ -33,6 +33,13 @@ def labelled_sample(labels: DataFrame, label: str, per_class: int = PER_CLASS, i
     return picked.join(F.broadcast(sizes), "label")
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """One row per ``place`` (what stands for an id), the one of the smallest ``content``
+    (hash of the text), so that an id which many rows share weighs and costs as one."""
+    least = F.min(F.struct("content", *(c for c in rows.columns if c not in ("place", "content")))).alias("row")
+    return rows.groupBy("place").agg(least).select("place", "row.*").drop("content")
+
+
 def with_labels(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents of a sample. It is broadcast: its size is bounded by its parameter."""
     return docs.join(F.broadcast(sample), F.col(f"`{id_col}`") == F.col("sample_id"))

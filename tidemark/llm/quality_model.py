@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.labelled import PER_CLASS, held_out, labelled_sample, with_labels
+from tidemark.llm.labelled import PER_CLASS, held_out, labelled_sample, one_each, with_labels
 
 PASSAGE_WORDS = 64
 THRESHOLD = 0.7
@@ -162,21 +162,22 @@ def train(
     per_class: int = PER_CLASS,
 ) -> Weights:
     """Weights from at most ``per_class`` labelled documents of each class outside the
-    held-out quarter; documents of over LEARN_PASSAGES passages are passed over. Only the
-    features of those documents reach the driver, so their size is bounded."""
+    held-out quarter; documents of over LEARN_PASSAGES passages are passed over, and of several
+    rows of an id one counts. Only the features of those documents reach the driver, so their
+    size is bounded."""
     sample = labelled_sample(labels, label, per_class)
     text = with_labels(docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text")), sample, "doc")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [passages(v.as_py()) for v in batch.column(3)]
+            rows = [passages(v.as_py()) for v in batch.column(4)]
             blobs = [r.tobytes() if len(r) <= LEARN_PASSAGES else None for r in rows]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(blobs, pa.binary())], names=["place", "label", "total", "rows"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(blobs, pa.binary())], names=["place", "content", "label", "total", "rows"])
 
-    encoded = text.select(F.md5(F.col("doc").cast("string")).alias("place"), "label", "total", "text").mapInArrow(
-        encode, "place string, label int, total bigint, rows binary"
+    encoded = text.select(F.md5(F.col("doc").cast("string")).alias("place"), F.xxhash64("text").alias("content"), "label", "total", "text").mapInArrow(
+        encode, "place string, content bigint, label int, total bigint, rows binary"
     )
-    found = sorted(encoded.where("rows is not null").collect(), key=lambda r: (r.place, r.label, r["rows"]))
+    found = sorted(one_each(encoded.where("rows is not null")).collect(), key=lambda r: (r.place, r.label, r["rows"]))
     bags = [np.frombuffer(r["rows"], np.float32).reshape(-1, N_FEATURES) for r in found]
     totals = {r.label: r.total for r in found}
     return fit(bags, np.array([r.label for r in found], np.float64), (totals.get(0, 0), totals.get(1, 0)))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import SPACE_CHARS
-from tidemark.llm.labelled import PER_CLASS, labelled_sample, with_labels
+from tidemark.llm.labelled import PER_CLASS, labelled_sample, one_each, with_labels
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -184,15 +184,17 @@ def train(
     per_class: int = PER_CLASS,
 ) -> list[Rule]:
     """Rules from at most ``per_class`` labelled documents of each class outside the held-out
-    quarter that pass the base rules. Only their statistics reach the driver."""
+    quarter that pass the base rules; of several rows of an id one counts. Only their
+    statistics reach the driver."""
     sample = labelled_sample(labels, label, per_class)
     named = with_labels(docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text")), sample, "doc")
-    rows = (
-        with_statistics(named, id_col="doc", extra=("label",))
+    named = named.withColumn("content", F.xxhash64("text"))
+    measured = (
+        with_statistics(named, id_col="doc", extra=("content", "label"))
         .where(~base_failed())
-        .select(F.md5(F.col("id").cast("string")).alias("place"), "label", *(F.expr(m).alias(name) for name, m in MEASURES.items()))
-        .collect()
+        .select(F.md5(F.col("id").cast("string")).alias("place"), "content", "label", *(F.expr(m).alias(name) for name, m in MEASURES.items()))
     )
+    rows = one_each(measured).collect()
     rows.sort(key=tuple)
     x = {m: np.array([r[m] for r in rows], np.float64) for m in MEASURES}
     return learn_rules(x, np.array([r["label"] == 0 for r in rows], bool))

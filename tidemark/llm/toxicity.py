@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.labelled import held_out, labelled_sample, with_labels
+from tidemark.llm.labelled import held_out, labelled_sample, one_each, with_labels
 
 # Labelled documents of each class a model is fitted on, at most; those of more distinct
 # words are not learned from (they are scored like all others).
@@ -158,27 +158,28 @@ def train(
     per_class: int = PER_CLASS,
 ) -> Model:
     """The model of at most ``per_class`` labelled documents of each class outside the
-    held-out quarter. Only the distinct tokens of those reach the driver."""
+    held-out quarter; of several rows of an id one counts. Only the distinct tokens of those
+    reach the driver."""
     sample = labelled_sample(labels, label, per_class)
     text = with_labels(docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text")), sample, "doc")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = [tokens(v.as_py()) for v in batch.column(3)]
+            bags = [tokens(v.as_py()) for v in batch.column(4)]
             bags = [b if len(b) <= LEARN_WORDS else None for b in bags]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[:3],
+                    *batch.columns[:4],
                     pa.array([None if b is None else b" ".join(b) for b in bags], pa.binary()),
                     pa.array([None if b is None else np.fromiter(b.values(), np.int32, len(b)).tobytes() for b in bags], pa.binary()),
                 ],
-                names=["place", "label", "total", "words", "times"],
+                names=["place", "content", "label", "total", "words", "times"],
             )
 
-    counted = text.select(F.md5(F.col("doc").cast("string")).alias("place"), "label", "total", "text").mapInArrow(
-        count, "place string, label int, total bigint, words binary, times binary"
+    counted = text.select(F.md5(F.col("doc").cast("string")).alias("place"), F.xxhash64("text").alias("content"), "label", "total", "text").mapInArrow(
+        count, "place string, content bigint, label int, total bigint, words binary, times binary"
     )
-    found = sorted(counted.where("words is not null").collect(), key=lambda r: (r.place, r.label, r.words))
+    found = sorted(one_each(counted.where("words is not null")).collect(), key=lambda r: (r.place, r.label, r.words))
     bags = [Counter(dict(zip(r.words.split(), np.frombuffer(r.times, np.int32).tolist()))) for r in found]
     totals = {r.label: r.total for r in found}
     return fit(bags, np.array([r.label for r in found], int), (totals.get(0, 0), totals.get(1, 0)))
