@@ -14,8 +14,10 @@ from tidemark.functions import localtime
 # What counts as a number.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INFINITY_PATTERN = r"(?i)^\s*[+-]?inf(inity)?\s*$"
-# A zone or offset behind the time of day.
-ZONED_PATTERN = r":\d{2}(\.\d*)?\s*([zZ]|[+-]\d{1,2}(:?\d{2})?|UTC|GMT|[A-Za-z]+/[A-Za-z_/]+)\s*$"
+# All of a text that is a date, or a date and a time of day without a zone.
+WALL_PATTERN = r"^[\x00-\x20]*[+-]?\d{4,6}(-\d{1,2}(-\d{1,2}([T ]+(\d{1,2}(:\d{1,2}(:\d{1,2}(\.\d*)?)?)?)?)?)?)?[\x00-\x20]*$"
+# A date and more: what is no wall clock can be an instant.
+DATED_PATTERN = r"^[\x00-\x20]*[+-]?\d{4,6}-\d{1,2}-\d{1,2}[T ]"
 # Pattern letters for a zone or an offset, outside quotes.
 ZONE_LETTERS = r"[VzOXxZ]"
 
@@ -41,7 +43,8 @@ def to_time(
 
     Text is read as ISO, or by the first of ``formats`` that fits. A zoned column, and ISO
     text with a zone or an offset, becomes the wall clock of ``zone`` (UTC if none); text
-    without one is a wall clock already. Formats can hold no zone.
+    without one is a wall clock already; what can be read as neither is null. Formats can
+    hold no zone.
     """
     if isinstance(data_type, T.TimestampNTZType):
         return column
@@ -58,8 +61,8 @@ def to_time(
         return F.coalesce(*[_by_format(column, fmt) for fmt in formats])
     text = F.trim(column)
     instant = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp")
-    return F.when(text.rlike(ZONED_PATTERN), localtime.wall_of_instant(instant, zone or "UTC")).otherwise(
-        text.try_cast("timestamp_ntz")
+    return F.when(text.rlike(WALL_PATTERN), text.try_cast("timestamp_ntz")).when(
+        text.rlike(DATED_PATTERN), localtime.wall_of_instant(instant, zone or "UTC")
     )
 
 
