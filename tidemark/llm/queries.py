@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.chat import TURN_SCHEMAS, format_chats, in_order, turns_as_calls
 from tidemark.llm.common import shared_folder, table
 from tidemark.llm.exact_dedup import duplicate_classes
+from tidemark.llm.manifest import FIELDS, dataset_proofs, fold, leaf, siblings
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_model import quality_scores
 from tidemark.llm.quality_rules import judged
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.llm.simhash import near_classes
-from tidemark.llm.sql import CHAT_SQL, EXACT_DEDUP_SQL, MIXING_SQL, SUBSTRING_SQL, WARC_SQL
+from tidemark.llm.sql import CHAT_SQL, EXACT_DEDUP_SQL, MIXING_SQL, SUBSTRING_SQL, WARC_SQL, manifest_sql
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.toxicity import severities
 from tidemark.llm.warc import page_records, read_archives, resolve_revisits, write_archives
@@ -82,3 +85,20 @@ def op6_chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return severities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(manifest_sql())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    claimed = F.when(tampered, leaf([lower if c == "text" else F.col(c) for c in FIELDS]))
+    proofs = dataset_proofs(table(spark, sf_dir, "documents"), claimed=claimed)
+    folded = fold(F.coalesce("claimed", "leaf"), F.col("steps"))
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("steps")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))

@@ -161,3 +161,71 @@ def _segment_rows() -> str:
 
 
 MIXING_SQL = MIXING_SQL.replace("{segments}", _segment_rows())
+
+
+def manifest_sql(arity: int = 8, levels: int = 12, top_levels: int = 4) -> str:
+    """The Merkle manifest, one CTE per level: enough for ``arity ** levels`` rows a language
+    and ``arity ** top_levels`` languages."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    mark = lambda c, v: (
+        f"coalesce(CAST(strlen(CAST({v} AS VARCHAR)) AS VARCHAR) || ':' || CAST({v} AS VARCHAR), '-')"
+    )
+    leaf = lambda text: "sha256(" + " || ".join(
+        mark(c, text if c == "text" else c) for c in ("doc_id", "source", "lang", "n_chars", "text")
+    ) + ")"
+    bit = "lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1))"
+    byte = f"lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), {bit})"
+    digits = "list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda d: CAST(ord(d) AS BIGINT))"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), {byte}), 4294967295::BIGINT)"
+    parts = [
+        f"""d AS (
+  SELECT doc_id, lang, {leaf("text")} AS leaf,
+         CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} END AS claimed
+  FROM documents
+), a0 AS (
+  SELECT doc_id, lang, leaf, coalesce(claimed, leaf) AS folded, leaf AS node, '' AS proof,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM d
+)"""
+    ]
+
+    def climb(k: int, before: str, group: str, carried: str) -> str:
+        """A row keeps its own node, siblings and folded value; a level is made of the nodes
+        that stand at ``pos``, once each."""
+        run = f"r.{group} IS NOT DISTINCT FROM x.{group} AND r.run = x.pos // {arity}"
+        return f"""n{k} AS (
+  SELECT DISTINCT {group}, pos, node, n FROM {before}
+), r{k} AS (
+  SELECT {group}, pos // {arity} AS run, list(node ORDER BY pos) AS nodes FROM n{k} GROUP BY ALL
+), a{k + 1} AS (
+  SELECT {carried},
+         CASE WHEN x.n > 1 THEN sha256(array_to_string(list_concat(r.nodes[: x.pos % {arity}], [x.folded], r.nodes[x.pos % {arity} + 2 :]), ''))
+              ELSE x.folded END AS folded,
+         CASE WHEN x.n > 1 THEN sha256(array_to_string(r.nodes, '')) ELSE x.node END AS node,
+         CASE WHEN x.n > 1 THEN x.proof || array_to_string(list_concat(r.nodes[: x.pos % {arity}], r.nodes[x.pos % {arity} + 2 :]), '')
+              ELSE x.proof END AS proof,
+         CASE WHEN x.n > 1 THEN x.pos // {arity} ELSE x.pos END AS pos,
+         CASE WHEN x.n > 1 THEN (x.n + {arity - 1}) // {arity} ELSE x.n END AS n
+  FROM {before} x JOIN r{k} r ON {run}
+)"""
+
+    for k in range(levels):
+        parts.append(climb(k, f"a{k}", "lang", "x.doc_id, x.lang, x.leaf"))
+    parts.append(
+        f"""b{levels} AS (
+  SELECT doc_id, leaf, node AS subroot, folded, node, proof, 0 AS one,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos
+  FROM a{levels}
+), t{levels} AS (
+  SELECT *, max(pos) OVER () + 1 AS n FROM b{levels}
+)"""
+    )
+    before = f"t{levels}"
+    for k in range(levels, levels + top_levels):
+        parts.append(climb(k, before, "one", "x.doc_id, x.leaf, x.subroot, x.one"))
+        before = f"a{k + 1}"
+    return "WITH " + ", ".join(parts) + f"""
+SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = node AS verified
+FROM {before}
+"""
