@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.paths import remove_path
+
 # A word is a run of anything but the six ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -42,3 +44,28 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     path = folder or shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """The intermediate tables of one operator, below one folder, each removed by its owner
+    as soon as nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self._number = spark, shared_folder(spark), 0
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def table(self, df: DataFrame) -> DataFrame:
+        self._number += 1
+        path = f"{self.folder}/{self._number}"
+        rows = written(df, path)
+        self._paths[id(rows)] = (rows, path)
+        return rows
+
+    def remove(self, *tables: DataFrame) -> None:
+        for rows in tables:
+            remove_path(self.spark, self._paths.pop(id(rows))[1])
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Removes all tables but those that the result still reads."""
+        kept = {id(rows) for rows in tables}
+        self.remove(*(rows for key, (rows, _) in list(self._paths.items()) if key not in kept))

@@ -12,6 +12,7 @@ from tidemark.llm.common import shared_folder, table
 from tidemark.llm.exact_dedup import duplicate_classes
 from tidemark.llm.manifest import FIELDS, dataset_proofs, fold, leaf, siblings
 from tidemark.llm.mixing import mix
+from tidemark.llm.neighbours import nearest
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_model import quality_scores
 from tidemark.llm.quality_rules import judged
@@ -102,3 +103,8 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(siblings(F.col("steps")), 256).alias("proof_sha256"),
         folded.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query()
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
