@@ -61,6 +61,9 @@ class Scratch:
         self._paths[id(rows)] = (rows, path)
         return rows
 
+    def owns(self, rows: DataFrame) -> bool:
+        return id(rows) in self._paths
+
     def remove(self, *tables: DataFrame) -> None:
         for rows in tables:
             remove_path(self.spark, self._paths.pop(id(rows))[1])

@@ -7,6 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.alignment import align
 from tidemark.llm.chat import TURN_SCHEMAS, format_chats, in_order, turns_as_calls
 from tidemark.llm.common import shared_folder, table
 from tidemark.llm.exact_dedup import duplicate_classes
@@ -108,3 +109,8 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"))
