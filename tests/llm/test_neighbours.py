@@ -1,0 +1,110 @@
+"""Nearest neighbours against brute force."""
+
+from __future__ import annotations
+
+import math
+import random
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm.neighbours import fit_forest, nearest
+from tidemark.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.1"
+SCHEMA = "vec_id bigint, embedding array<float>, label int, id string, vector string, class int"
+
+
+def frame(spark, rows):
+    floats = [(i, v and [x if x is None else float(x) for x in v]) for i, v in rows]
+    return spark.createDataFrame([(i, v, 0, "x", "y", 1) for i, v in floats], SCHEMA)
+
+
+def taking_part(rows, dimension):
+    return [
+        (i, np.array(v, np.float32).astype(float))
+        for i, v in rows
+        if i is not None and v is not None and len(v) == dimension
+        and all(x is not None and math.isfinite(x) for x in v) and any(x != 0 for x in v)
+    ]
+
+
+def brute(rows, dimension, asks, k=5):
+    """Per query row: the scores, and (score, id) of all others, best first."""
+    rows = taking_part(rows, dimension)
+    out = []
+    for n, (i, v) in enumerate(rows):
+        if asks(i):
+            others = [
+                (-round(float(w @ v / math.sqrt(w @ w) / math.sqrt(v @ v)), 9), j) for m, (j, w) in enumerate(rows) if m != n
+            ]
+            out.append((i, [(j, -s) for s, j in sorted(others)[:k]]))
+    return sorted(out)
+
+
+def found(df):
+    by_query = {}
+    for r in df.collect():
+        by_query.setdefault(r.query_id, []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    return by_query
+
+
+def mixed(seed=1):
+    rng = random.Random(seed)
+    vector = lambda: [rng.gauss(0, 1) for _ in range(6)]
+    rows = [(i, vector()) for i in range(1, 300)]
+    hot = vector()
+    rows += [(i, hot) for i in range(300, 420)]
+    rows += [(1000, None), (1010, [0.0] * 6), (1020, [1.0, None, 0, 0, 0, 0]), (1030, [float("nan")] * 6)]
+    rows += [(1040, [float("inf"), 1, 1, 1, 1, 1]), (None, vector()), (1050, [1.0, 2.0]), (1060, []), (0, vector())]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_small_tables_are_searched_whole(spark):
+    rows = mixed()
+    got = found(nearest(frame(spark, rows), F.col("vec_id") % 10 == 0))
+    want = brute(rows, 6, lambda i: i % 10 == 0)
+    assert sorted(got) == [i for i, _ in want]
+    for i, best in want:
+        assert [r for r, _, _ in got[i]] == [1, 2, 3, 4, 5]
+        assert [(j, round(s, 9)) for _, j, s in got[i]] == [(j, round(s, 9)) for j, s in best], i
+
+
+def test_repeated_rows_are_rows_of_their_own(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0])]
+    got = nearest(frame(spark, rows), F.col("vec_id") == 1).collect()
+    assert sorted((r["rank"], r.vec_id) for r in got) == [(1, 1), (1, 1), (2, 2), (2, 2), (3, 3), (3, 3)]
+
+
+@pytest.mark.parametrize("rows", [[], [(0, None)], [(0, [1.0, 2.0])]])
+def test_nothing_to_find(spark, rows):
+    assert nearest(frame(spark, rows), F.col("vec_id") == 0).collect() == []
+
+
+def test_forest_halves_its_sample():
+    unit = np.random.default_rng(0).normal(size=(1000, 8))
+    forest = fit_forest(unit, trees=3, leaf=20)
+    leaves = forest.leaves_of(unit)
+    for tree in range(3):
+        sizes = np.bincount(leaves[:, tree])
+        assert sizes[sizes > 0].max() <= 20 and sizes.sum() == 1000
+    for row, opened in zip(leaves, forest.search(unit, 0.2, 1)):
+        # The own leaf of every tree comes first.
+        assert set(row) <= set(opened.tolist()) and set(opened[:3].tolist()) == set(row)
+
+
+def test_equal_vectors_make_one_leaf():
+    forest = fit_forest(np.ones((50, 4)), leaf=8)
+    assert (forest.leaves_of(np.ones((3, 4))) >= 0).all()
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="needs the test tables")
+def test_recall_on_the_table(spark):
+    got = found(QUERIES["op12_nearest_neighbours"](spark, SF_DIR))
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
+    want = brute(rows, 64, lambda i: i % 50 == 0)
+    hits = sum(len({j for j, _ in best} & {j for _, j, _ in got[i]}) for i, best in want)
+    assert sorted(got) == [i for i, _ in want] and hits >= 0.9 * 5 * len(want)

@@ -69,9 +69,9 @@ class Forest:
         found = []
         for row in margins:
             margin, held, leaves = row.tolist(), 0, []
-            queue = [(0.0, root) for root in self.roots]
             # The leaf the vector itself is in comes first in every tree.
-            while queue and (held < wanted or queue[0][0] == 0.0):
+            queue = [(-1.0, root) for root in self.roots]
+            while queue and (held < wanted or queue[0][0] < 0):
                 bound, at = heapq.heappop(queue)
                 while leaf[at] < 0:
                     d = margin[at]
@@ -114,7 +114,7 @@ def fit_forest(sample: np.ndarray, trees: int = TREES, leaf: int = LEAF, seed: i
     planes, *rest = zip(*nodes) if nodes else ((), (), (), (), (), ())
     offsets, below, above, number, mass = (np.array(x) for x in rest)
     return Forest(
-        np.array(planes).reshape(len(nodes), -1), offsets, below, above, number, mass, roots, len(sample)
+        np.array(planes).reshape(len(nodes), sample.shape[1]), offsets, below, above, number, mass, roots, len(sample)
     )
 
 
