@@ -245,7 +245,7 @@ def dataset_proofs(
     remove_path(docs.sparkSession, f"{folder}/leaves")
     subroots = roots(levels, "tree", arity, stride).withColumn("all", F.lit(0))
     top = build(subroots, "all", ["tree"], arity, stride, f"{folder}/root")
-    bottom = docs.sparkSession.range(1).select(F.lit(0).alias("all"), F.array().cast(STEPS).alias("steps"))
+    bottom = docs.sparkSession.range(1).select(F.col("id").cast("int").alias("all"), F.array().cast(STEPS).alias("steps"))
     above = written(prove(top, "all", bottom, arity, stride).select("tree", "steps", F.col("hash").alias("subroot")))
     above = above.withColumn("root", fold(F.col("subroot"), F.col("steps")))
     proofs = prove(levels, "tree", above, arity, stride)
