@@ -12,7 +12,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent))
 
 from corpora import frame, mixed_rows, words_of  # noqa: E402
-from test_copies import components, plain_fingerprint, squeezed  # noqa: E402
+from test_copies import components, squeezed  # noqa: E402
 from test_mixing_packing import check_bins  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
@@ -24,6 +24,11 @@ SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="needs the test tables")
 
 
+def shingle_set(text):
+    words = words_of("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(len(words) - 4, min(len(words), 1))))
+
+
 def rows_of(df):
     return Counter(tuple(r) for r in df.collect())
 
@@ -42,13 +47,20 @@ def check_exact(spark, docs, out):
 
 
 def check_near(spark, docs, out):
+    """Exact Jaccard of the sets of five lower-cased words, all pairs, then components."""
     rows = docs.collect()
-    prints = {r.text: plain_fingerprint(r.text) for r in rows}
-    nodes = set(prints.values())
-    root = components(nodes, [p for p in itertools.combinations(nodes, 2) if (p[0] ^ p[1]).bit_count() <= 4])
+    sets = {r.text: shingle_set(r.text) for r in rows}
+    nodes = sorted(set(sets.values()), key=sorted)
+    number = {s: i for i, s in enumerate(nodes)}
+    similar = [
+        (i, j)
+        for (i, a), (j, b) in itertools.combinations(enumerate(nodes), 2)
+        if a and b and min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and 10 * len(a & b) >= 8 * len(a | b)
+    ]
+    root = components(range(len(nodes)), similar)
     groups = defaultdict(list)
     for r in rows:
-        groups[root[prints[r.text]]].append(r)
+        groups[root[number[sets[r.text]]]].append(r)
     assert len(list(out.elements())) == len(groups)
     for members in groups.values():
         least = min(members, key=lambda r: (r.doc_id is None, r.doc_id or 0)).doc_id

@@ -52,7 +52,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.folder, self._number = spark, shared_folder(spark), 0
-        self._paths: dict[int, tuple[DataFrame, str]] = {}
+        self._paths: dict[int, tuple[DataFrame | None, str]] = {}
 
     def table(self, df: DataFrame) -> DataFrame:
         self._number += 1
@@ -61,6 +61,13 @@ class Scratch:
         self._paths[id(rows)] = (rows, path)
         return rows
 
+    def subfolder(self) -> str:
+        """For what writes tables by itself; goes with the rest in ``keep_only``."""
+        self._number += 1
+        path = f"{self.folder}/{self._number}"
+        self._paths[-self._number] = (None, path)
+        return path
+
     def owns(self, rows: DataFrame) -> bool:
         return id(rows) in self._paths
 
@@ -71,4 +78,5 @@ class Scratch:
     def keep_only(self, *tables: DataFrame) -> None:
         """Removes all tables but those that the result still reads."""
         kept = {id(rows) for rows in tables}
-        self.remove(*(rows for key, (rows, _) in list(self._paths.items()) if key not in kept))
+        for key in [k for k in self._paths if k not in kept]:
+            remove_path(self.spark, self._paths.pop(key)[1])

@@ -28,17 +28,17 @@ def _small_star(links: DataFrame) -> DataFrame:
     return lower.union(least.select("a", F.col("least").alias("b"))).distinct()
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, folder: str | None = None) -> DataFrame:
     """Rows ``node``, ``root`` (smallest node of its component) for each node that is larger
     than its root, from links with the numeric ends ``a`` and ``b``, nulls apart.
 
     Alternating star rounds: each shortens the paths to the smallest node, and a round that
     changes nothing ends them, after a number of rounds that grows with the logarithm of the
-    longest path. Each round is a table in the shared folder; the one before it is removed.
+    longest path. Each round is a table below ``folder``; the one before it is removed.
     Minima are combined before their shuffle, so a node with many links costs one row a task.
     """
     spark = links.sparkSession
-    folder = shared_folder(spark)
+    folder = folder or shared_folder(spark)
 
     def state(rows: DataFrame) -> tuple[object, ...]:
         return tuple(
