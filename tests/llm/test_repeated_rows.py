@@ -20,3 +20,14 @@ def test_repeated_rows_give_their_spans_once(spark):
     assert len(spans) == len(set(spans)) and {r.id for r in spans} == {2, 3}
     got = {(r.doc_id, r.n_removed) for r in substring_dedup.remove_repeats(frame(spark, rows)).collect()}
     assert got == {(1, 0), (2, 80), (3, 200)}
+
+
+def test_extension_goes_both_ways_from_the_seed():
+    from tidemark.llm.substring_dedup import extend
+
+    words = b"a b c d e f g h i j".split()
+    others = b"x b c d e f g h y j".split()
+    assert extend(words, 3, others, 3, 2) == (1, 8)
+    assert extend(words, 0, others, 1, 2) is None
+    assert extend(words, 0, words, 0, 3) == (0, 10)
+    assert extend(words, 8, b"i j".split(), 0, 2) == (8, 10)
