@@ -14,10 +14,13 @@ from tidemark.functions import localtime
 # What counts as a number.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INFINITY_PATTERN = r"(?i)^\s*[+-]?inf(inity)?\s*$"
-# All of a text that is a date, or a date and a time of day without a zone.
-WALL_PATTERN = r"^[\x00-\x20]*[+-]?\d{4,6}(-\d{1,2}(-\d{1,2}([T ]+(\d{1,2}(:\d{1,2}(:\d{1,2}(\.\d*)?)?)?)?)?)?)?[\x00-\x20]*$"
+# All of a text that is a date, or a date and a time of day without a zone. A year has four
+# digits: five or more are a day number of a spreadsheet or a year and month run together.
+WALL_PATTERN = r"^[\x00-\x20]*\d{4}(-\d{1,2}(-\d{1,2}([T ]+(\d{1,2}(:\d{1,2}(:\d{1,2}(\.\d*)?)?)?)?)?)?)?[\x00-\x20]*$"
 # A date and more: what is no wall clock can be an instant.
-DATED_PATTERN = r"^[\x00-\x20]*[+-]?\d{4,6}-\d{1,2}-\d{1,2}[T ]"
+DATED_PATTERN = r"^[\x00-\x20]*\d{4}-\d{1,2}-\d{1,2}[T ]"
+# Year, month and day run together.
+COMPACT_PATTERN = r"^(\d{4})(\d{2})(\d{2})$"
 # Pattern letters for a zone or an offset, outside quotes.
 ZONE_LETTERS = r"[VzOXxZ]"
 
@@ -41,7 +44,7 @@ def to_time(
 ) -> Column:
     """TIMESTAMP_NTZ wall clock or null.
 
-    Text is read as ISO, or by the first of ``formats`` that fits. A zoned column, and ISO
+    Text is read as ISO, years of four digits, with or without dashes, or by the first of ``formats`` that fits. A zoned column, and ISO
     text with a zone or an offset, becomes the wall clock of ``zone`` (UTC if none); text
     without one is a wall clock already; what can be read as neither is null. Formats can
     hold no zone.
@@ -61,7 +64,8 @@ def to_time(
         return F.coalesce(*[_by_format(column, fmt) for fmt in formats])
     text = F.trim(column)
     instant = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp")
-    return F.when(text.rlike(WALL_PATTERN), text.try_cast("timestamp_ntz")).when(
+    compact = F.regexp_replace(text, COMPACT_PATTERN, "$1-$2-$3")
+    return F.when(F.length(text) == 8, F.when(compact.rlike(WALL_PATTERN), compact.try_cast("timestamp_ntz"))).when(text.rlike(WALL_PATTERN), text.try_cast("timestamp_ntz")).when(
         text.rlike(DATED_PATTERN), localtime.wall_of_instant(instant, zone or "UTC")
     )
 

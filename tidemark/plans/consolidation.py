@@ -1,13 +1,13 @@
-"""Rebuild the read model of the months that changed, in one job."""
+"""Merge what was published since into the read model of the months it touches."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 
 from tidemark.operators.dedup import consolidate
-from tidemark.store import COMPLETED, IN_PROGRESS, Month, SeriesStore
+from tidemark.store import COMPLETED, EMPTY, FAILED, IN_PROGRESS, Month, SeriesStore, in_months
 
 
 def affected_months(rows: DataFrame) -> DataFrame:
@@ -22,13 +22,24 @@ def consolidate_months(
     only_incomplete: bool = False,
     tie_breakers: Sequence[str | Column] | None = None,
     skip_unreadable: bool = False,
+    full: bool = False,
 ) -> list[Month]:
-    """Rewrite the projections of ``months`` (default: all published ones).
+    """Bring the projections of ``months`` (default: all published ones) up to date.
+
+    The latest row of a key among all versions is the latest among the stored one and the
+    rows of later versions. So a month that was built to some version is merged with what
+    was published since, and no event it has seen is read again; one without later versions
+    is left as it is. ``full`` builds the months from all their events, as is needed after a
+    change of ``keys`` or ``tie_breakers``.
 
     ``only_incomplete`` leaves out months whose last completed rebuild has seen all their
     versions. Every status names the newest version committed when the rebuild began.
-    Returns the months written; a month without a row that names its series has nothing to
-    write, and stays ``in_progress``.
+    Returns the months that are up to date and have something to show. A month of which no
+    row names its series is ``empty``, one without any row stays ``in_progress``.
+
+    The months are one job. If it fails, they are halved until the bad ones stand alone: the
+    others are built, and those are ``failed``, with the reason, and due in the next run. Only
+    if no month can be built the error is raised.
     """
     wanted = sorted(set(months)) if months is not None else published_months(store)
     if only_incomplete:
@@ -39,14 +50,47 @@ def consolidate_months(
 
     version = store.current_version()
     store.append_month_status(wanted, IN_PROGRESS, version)
-    events = store.events_in(wanted, skip_unreadable)
-    store.write_projections(consolidate(events, keys, tie_breakers))
+    built = {} if full else store.built_versions(wanted)
+    published = store.versions_in(wanted)
+    stale = {m for v, m in published if v > built.get(m, "")}
+
+    def build(part: list[Month]) -> None:
+        before = {m: built[m] for m in part if m in built}
+        rows = store.events_in(part, skip_unreadable, before)
+        if before:
+            kept = store.projections().where(in_months(list(before)))
+            rows = kept.unionByName(rows.select(*kept.columns))
+        store.write_projections(consolidate(rows, keys, tie_breakers))
+
+    failures = _isolated(build, [m for m in wanted if m in stale])
+    if failures and len(failures) == len(wanted):
+        raise next(iter(failures.values()))
     # A month is a directory; the listing says which ones exist.
-    completed = [m for m in wanted if store.has_projection(m)]
+    sound = [m for m in wanted if m not in failures]
+    completed = [m for m in sound if store.has_projection(m)]
+    shown = set(completed)
+    had_rows = {m for _, m in published}
     store.append_month_status(completed, COMPLETED, version)
+    store.append_month_status([m for m in sound if m not in shown and m in had_rows], EMPTY, version)
+    for month, error in failures.items():
+        store.append_month_status([month], FAILED, version, reason=f"{type(error).__name__}: {error}"[:1000])
     return completed
 
 
+def _isolated(build: Callable[[list[Month]], None], months: list[Month]) -> dict[Month, Exception]:
+    """Runs ``build`` for all months, in as few calls as those that fail allow; returns these."""
+    if not months:
+        return {}
+    try:
+        build(months)
+    except Exception as error:  # noqa: BLE001  whatever it is, it stops its own month only
+        if len(months) == 1:
+            return {months[0]: error}
+        half = len(months) // 2
+        return {**_isolated(build, months[:half]), **_isolated(build, months[half:])}
+    return {}
+
+
 def published_months(store: SeriesStore) -> list[Month]:
     rows = affected_months(store.months_of()).collect()
     return [(r.year, r.month) for r in rows]

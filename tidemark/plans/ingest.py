@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,7 +85,8 @@ def run_ingest(
     whatever the source brings, if ``consolidate``. ``batch`` names the micro-batch behind
     ``raw``, for the manifest.
 
-    A source of which every row was rejected for its time or value fails the run. With
+    A row later than ``spec.horizon_days`` after the run time fails the run, with nothing
+    published: as the watermark it would silently stop all later rows. A source of which every row was rejected for its time or value fails the run. With
     ``count_rows`` the result tells what became of the rows, at the price of one more pass
     over their times and values; rows that the scan already left out as too old are not
     among them. Both need the library's own normaliser.
@@ -157,6 +158,7 @@ def run_ingest(
         created_at=run_time,
         known_new=True,
         batch=batch,
+        latest=_horizon(spec, run_time),
     )
     counts = None
     if is_generic(spec) and (count_rows or result.reason == NO_ROWS):
@@ -196,6 +198,12 @@ def _count(spec: DatasetSpec, rows: DataFrame, since: datetime | None, added: in
     )
 
 
+def _horizon(spec: DatasetSpec, run_time: datetime) -> datetime | None:
+    if spec.horizon_days is None:
+        return None
+    return run_time.replace(tzinfo=None) + timedelta(days=spec.horizon_days)
+
+
 def _months_of(rows: DataFrame) -> list[Month]:
     """Calendar months of the rows; one column is read, one row a month comes back."""
     time = F.col("obs_time")

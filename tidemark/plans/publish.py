@@ -38,6 +38,7 @@ def publish(
     created_at: datetime | None = None,
     known_new: bool = False,
     batch: tuple[str, int] | None = None,
+    latest: datetime | None = None,
 ) -> PublishResult:
     """Publish ``delta`` as ``version`` if the current version is still ``expected_current``.
 
@@ -48,6 +49,9 @@ def publish(
     files of this version are already in their table. ``batch`` is the stream and number of
     the micro-batch behind the delta, for the manifest.
 
+    A delta with a time after ``latest`` is refused: such a time, most likely a misread one,
+    would be the watermark of all later runs.
+
     Nothing is visible until the manifest row is written, as the last step. A failure
     before that removes what this call wrote and is raised again.
     """
@@ -61,7 +65,9 @@ def publish(
 
     try:
         store.write_events(version, delta)
-        stats = store.stats_of(version, delta.schema)
+        stats = store.stats_of(version, delta.schema, latest)
+        if stats.late_rows:
+            raise ValueError(f"{stats.late_rows} rows lie after {latest}, the latest time allowed")
         if stats.rows == 0:
             store.discard(version)
             return PublishResult(False, version, reason=NO_ROWS)

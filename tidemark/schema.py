@@ -169,6 +169,8 @@ MONTH_STATUS = T.StructType(
         # The newest version the month was, or is being, built from.
         T.StructField("version", T.StringType()),
         T.StructField("stamp", T.TimestampType()),
+        # Why a rebuild failed.
+        T.StructField("reason", T.StringType()),
     ]
 )
 

@@ -85,6 +85,9 @@ class DatasetSpec:
     time_formats: tuple[str, ...] = ()
     on_bad_local_time: str = "raise"
     escape_separator: bool = False
+    # Days after the run time up to which a row can lie; a later one fails the run, because
+    # it would make every following row look old. None allows any time.
+    horizon_days: int | None = 3660
     options: Mapping[str, object] = field(default_factory=dict)
 
     def __post_init__(self) -> None:

@@ -22,7 +22,7 @@ from __future__ import annotations
 import json
 import re
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -42,6 +42,12 @@ _LABEL = re.compile(r"^[0-9A-Za-z._-]+$")
 
 IN_PROGRESS = "in_progress"
 COMPLETED = "completed"
+# Published rows, of which none names its series: there is nothing to project.
+EMPTY = "empty"
+FAILED = "failed"
+
+# The last time that Python can hold.
+_LAST_TIME = "9999-12-31 23:59:59.999999"
 
 Month = tuple[int, int]
 
@@ -52,6 +58,8 @@ class VersionStats:
 
     rows: int
     months: tuple[Row, ...]
+    # Rows after the latest time allowed.
+    late_rows: int = 0
 
     @property
     def min_obs_time(self) -> datetime | None:
@@ -221,22 +229,27 @@ class SeriesStore:
         """Rows of one version whether or not it is committed; ``body`` as it was written."""
         return self._read_events(version, body)
 
-    def stats_of(self, version: str, body: T.StructType) -> VersionStats:
-        """Counts and time range per month of a written version; reads one column."""
+    def stats_of(self, version: str, body: T.StructType, latest: datetime | None = None) -> VersionStats:
+        """Counts and time range per month of a written version; reads one column. Times that
+        Python has no date for do not reach it: they count as the last that it has."""
         written = self._read_events(version, body)
         date_column = S.find_date_column(body.names)
         time = F.col(date_column).cast("timestamp_ntz") if date_column else F.lit(None).cast("timestamp_ntz")
         months = (
             written.select("year", "month", time.alias("t"))
+            .withColumn("late", F.col("t") > F.lit(latest).cast("timestamp_ntz") if latest else F.lit(False))
+            .withColumn("t", F.least("t", F.lit(_LAST_TIME).cast("timestamp_ntz")))
             .groupBy("year", "month")
             .agg(
                 F.count(F.lit(1)).alias("rows"),
                 F.min("t").alias("min_obs_time"),
                 F.max("t").alias("max_obs_time"),
+                F.count_if("late").alias("late"),
             )
             .collect()
         )
-        return VersionStats(sum(m["rows"] for m in months), tuple(months))
+        stats = tuple(Row(**{k: v for k, v in m.asDict().items() if k != "late"}) for m in months)
+        return VersionStats(sum(m["rows"] for m in months), stats, sum(m["late"] for m in months))
 
     def event_schema(self) -> T.StructType:
         """Columns of all committed versions together, as the current manifest records them."""
@@ -263,14 +276,21 @@ class SeriesStore:
         rows = read_table(self.spark, target, full, skip_unreadable)
         return rows.where(self._is_committed(target)).select(*full.names)
 
-    def events_in(self, months: Sequence[Month], skip_unreadable: bool = False) -> DataFrame:
+    def events_in(
+        self,
+        months: Sequence[Month],
+        skip_unreadable: bool = False,
+        after: Mapping[Month, str] | None = None,
+    ) -> DataFrame:
         """All committed rows of some months. Only the directories that the manifests name
-        are listed and read, however many versions there are."""
+        are listed and read, however many versions there are; of a month in ``after`` only
+        those of later versions."""
         body = self.event_schema()
         full, table = _with_partitions(body), self.path("events")
         paths = [
             f"{table}/version={version}/year={year}/month={month:02d}"
             for version, (year, month) in self.versions_in(months)
+            if version > (after or {}).get((year, month), "")
         ]
         if not paths:
             return no_rows(self.spark, full)
@@ -450,12 +470,14 @@ class SeriesStore:
         status: str,
         version: str | None = None,
         stamp: datetime | None = None,
+        reason: str | None = None,
     ) -> None:
         if months:
             common = {
                 "dataset_id": self.dataset_id,
                 "status": status,
                 "version": version,
+                "reason": reason,
                 "stamp": stamp or _now(),
             }
             rows = [{**common, "year": year, "month": month} for year, month in months]
@@ -469,7 +491,7 @@ class SeriesStore:
         completed from: those of an interrupted run, and those never built."""
         none = F.lit(None).cast("string")
         published = self.months_of().where("year IS NOT NULL")
-        built = self.month_status_log().where(F.col("status") == COMPLETED)
+        built = self.month_status_log().where(F.col("status").isin(COMPLETED, EMPTY))
         due = (
             published.select("year", "month", F.col("version").alias("published"), none.alias("built"))
             .union(built.select("year", "month", none, "version"))
@@ -479,6 +501,17 @@ class SeriesStore:
         )
         return sorted((r.year, r.month) for r in due.select("year", "month").collect())
 
+    def built_versions(self, months: Sequence[Month]) -> dict[Month, str]:
+        """The version that the stored read model of each month has seen; a month whose read
+        model is not there, though it had rows to show, is left out."""
+        log = self.month_status_log().where(F.col("status").isin(COMPLETED, EMPTY) & in_months(months))
+        last = log.groupBy("year", "month").agg(F.max(F.struct("version", "status")).alias("last"))
+        return {
+            (r.year, r.month): r["last"].version
+            for r in last.collect()
+            if r["last"].version and (r["last"].status == EMPTY or self.has_projection((r.year, r.month)))
+        }
+
     # ---- shared ----------------------------------------------------------------------
 
     def discard(self, version: str) -> None:

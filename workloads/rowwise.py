@@ -256,6 +256,26 @@ def coerce_dates_zoned(spark, sf_dir):
     return typed.select("event_id", micros_text("obs_time").alias("obs_time"))
 
 
+@query(
+    """SELECT o_orderkey AS order_key,
+        CASE o_orderkey % 4 WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00')
+            WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00') END AS obs_time FROM orders"""
+)
+def coerce_date_digits(spark, sf_dir):
+    """Dates as the day number of a spreadsheet, as year and month, and with or without
+    dashes: the first two are no times."""
+    day = F.to_date("o_orderdate")
+    kind = F.col("o_orderkey") % 4
+    text = (
+        F.when(kind == 0, F.datediff(day, F.lit("1899-12-30").cast("date")).cast("string"))
+        .when(kind == 1, F.date_format(day, "yyyyMM"))
+        .when(kind == 2, F.date_format(day, "yyyyMMdd"))
+        .otherwise(day.cast("string"))
+    )
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), text.alias("obs_time"))
+    return normalize.coerce_dates(rows).select("order_key", time_text("obs_time").alias("obs_time"))
+
+
 @query(f"WITH {q.DIRTY} SELECT event_id, value FROM dirty")
 def coerce_numbers(spark, sf_dir):
     return normalize.coerce_numbers(dirty_observations(spark, sf_dir)).select("event_id", "value")

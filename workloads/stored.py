@@ -414,6 +414,28 @@ def store_dedup(spark, sf_dir):
     )
 
 
+@query(
+    f"""WITH {q.OBS_L}
+    SELECT internal_series_code, {q.time_text('obs_time')} AS obs_time, version, value, order_key
+    FROM obs_l QUALIFY row_number() OVER (PARTITION BY internal_series_code, obs_time
+        ORDER BY version DESC, value DESC, order_key DESC) = 1"""
+)
+def merged_read_model(spark, sf_dir):
+    """Line items in seven versions, the read model merged after each: it reads what was
+    published last and its own rows, and has the latest row of each key among all of them."""
+    store = SeriesStore(spark, scratch(spark), "lines")
+    lines = line_observations(spark, sf_dir).select(*LINE_KEYS, "value", "order_key", "version")
+    expected = None
+    for version in (f"v{n}" for n in range(1, 8)):
+        result = publish(store, lines.where(F.col("version") == version), version, LINE_KEYS, expected)
+        consolidate_months(store, LINE_KEYS, result.months)
+        expected = version if result.published else expected
+    return store.projections().select(
+        "internal_series_code", time_text("obs_time").alias("obs_time"), "version", "value", "order_key"
+    )
+
+
+
 @query(
     f"""WITH {q.OBS_O}, marks AS (
         SELECT internal_series_code, MAX(obs_time) AS mark FROM obs_o WHERE obs_time < '1998-01-01' GROUP BY ALL)
