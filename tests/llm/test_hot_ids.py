@@ -38,3 +38,16 @@ def test_repeated_rows_do_not_change_what_is_learned_from(spark, monkeypatch, mo
     else:
         assert once[0] == often[0]
     assert np.array_equal(once[1], often[1])
+
+
+def test_long_documents_are_condensed_not_left_out():
+    import numpy as np
+
+    from tidemark.llm.quality_model import _condensed
+
+    rows = np.arange(3000, dtype=np.float32).reshape(1000, 3)
+    few = _condensed(rows, 7)
+    assert few.shape == (7, 3) and few.dtype == rows.dtype and (np.diff(few[:, 0]) > 0).all()
+    sizes = np.diff([*(np.arange(7) * 1000 // 7), 1000])
+    assert np.allclose((few * sizes[:, None]).sum(axis=0), rows.sum(axis=0), rtol=1e-5)
+    assert _condensed(rows, 1000) is rows

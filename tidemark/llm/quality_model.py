@@ -15,7 +15,8 @@ from tidemark.llm.labelled import PER_CLASS, held_out, labelled_sample, one_each
 
 PASSAGE_WORDS = 64
 THRESHOLD = 0.7
-# Documents of more passages are not learned from (they are scored like all others).
+# Rows that a document is learned from, at most: of more passages, neighbours are averaged, so
+# all of the text counts and what reaches the driver is bounded. Scores use every passage.
 LEARN_PASSAGES = 256
 HIDDEN, GATE = 12, 8
 STEPS, RATE, DECAY = 250, 0.03, 1e-4
@@ -162,8 +163,7 @@ def train(
     per_class: int = PER_CLASS,
 ) -> Weights:
     """Weights from at most ``per_class`` labelled documents of each class outside the
-    held-out quarter; documents of over LEARN_PASSAGES passages are passed over, and of several
-    rows of an id one counts. Only the features of those documents reach the driver, so their
+    held-out quarter, long ones included; of several rows of an id one counts. Only the features of those documents reach the driver, so their
     size is bounded."""
     sample = labelled_sample(labels, label, per_class)
     text = with_labels(docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text")), sample, "doc")
@@ -171,18 +171,27 @@ def train(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [passages(v.as_py()) for v in batch.column(4)]
-            blobs = [r.tobytes() if len(r) <= LEARN_PASSAGES else None for r in rows]
+            blobs = [_condensed(r).tobytes() for r in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(blobs, pa.binary())], names=["place", "content", "label", "total", "rows"])
 
     encoded = text.select(F.md5(F.col("doc").cast("string")).alias("place"), F.xxhash64("text").alias("content"), "label", "total", "text").mapInArrow(
         encode, "place string, content bigint, label int, total bigint, rows binary"
     )
-    found = sorted(one_each(encoded.where("rows is not null")).collect(), key=lambda r: (r.place, r.label, r["rows"]))
+    found = sorted(one_each(encoded).collect(), key=lambda r: (r.place, r.label, r["rows"]))
     bags = [np.frombuffer(r["rows"], np.float32).reshape(-1, N_FEATURES) for r in found]
     totals = {r.label: r.total for r in found}
     return fit(bags, np.array([r.label for r in found], np.float64), (totals.get(0, 0), totals.get(1, 0)))
 
 
+def _condensed(rows: np.ndarray, most: int = LEARN_PASSAGES) -> np.ndarray:
+    """At most so many rows: the means of neighbouring ones, of numbers as equal as can be."""
+    if len(rows) <= most:
+        return rows
+    starts = np.arange(most) * len(rows) // most
+    sizes = np.diff(np.append(starts, len(rows)))
+    return (np.add.reduceat(rows.astype(np.float64), starts, axis=0) / sizes[:, None]).astype(rows.dtype)
+
+
 def scorer(weights: Weights) -> Callable[[Column], Column]:
     """A column function that scores whole texts, from 0 to 1."""
 
