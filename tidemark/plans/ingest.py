@@ -10,9 +10,10 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.keys import with_key_hash
 from tidemark.functions.labels import version_label
 from tidemark.operators import normalize
-from tidemark.operators.delta import delta
+from tidemark.operators.delta import relevant_index, without_known
 from tidemark.operators.enrich import enrich
 from tidemark.operators.fingerprint import source_changes
 from tidemark.operators.watermark import (
@@ -138,14 +139,19 @@ def run_ingest(
     elif current is not None and watermark == "series":
         rows = filter_newer_per_series(rows, store.series_marks(), lag_days=lag_days)
 
+    hashed = with_key_hash(rows, spec.primary_keys, spec.timezone, spec.escape_separator)
     index = None
-    if current is not None:
-        index = store.index()
-        if "obs_time" in spec.primary_keys:
-            # A hash can match nothing outside its own month: rows past the cutoff need its
-            # month and later ones, other rows their own months, which are few.
-            index = store.index(since, None if since else _months_of(rows))
-    added = delta(rows, index, spec.primary_keys, spec.timezone, spec.escape_separator)
+    if current is not None and since is not None:
+        # A hash can match nothing outside its own month: rows past the cutoff need its month
+        # and later ones.
+        index = store.index(since if "obs_time" in spec.primary_keys else None)
+    elif current is not None:
+        # Other rows can be of any month. They are stored first, so that no source is read
+        # twice; then their months and a bitmap of their hashes say which keys matter.
+        hashed = store.stage(version, hashed)
+        months = _months_of(hashed) if "obs_time" in spec.primary_keys else None
+        index = relevant_index(store.index(None, months), hashed)
+    added = without_known(hashed, index)
     result = publish(
         store,
         enrich(added, spec, version, run_time),
@@ -160,6 +166,7 @@ def run_ingest(
         batch=batch,
         latest=_horizon(spec, run_time),
     )
+    store.unstage(version)
     counts = None
     if is_generic(spec) and (count_rows or result.reason == NO_ROWS):
         counts = _count(spec, extracted, since, result.rows_added)

@@ -4,6 +4,7 @@
     events_undated/version=V/                  the same for frames without a date column
     key_index/generation=G/version=V/year=Y/month=MM/   key hashes added by version V
     index_generations/                         which generation is current
+    staging/version=V/                         rows of a batch while their keys are looked up
     source_files/version=V/                    hash of every source file V was made from
     series_marks/version=V/                    latest time per series as of V, if asked for
     manifest_files/V/manifest.json             the manifest of version V for other tools
@@ -359,6 +360,15 @@ class SeriesStore:
             return no_rows(self.spark, full)
         return self.spark.read.schema(full).option("basePath", table).parquet(*paths).select(*full.names)
 
+    def stage(self, version: str, rows: DataFrame) -> DataFrame:
+        """The rows of a batch as a table of their own until the version is published."""
+        target = self.path("staging", f"version={version}")
+        rows.write.mode("overwrite").parquet(target)
+        return self.spark.read.schema(rows.schema).parquet(target)
+
+    def unstage(self, version: str) -> None:
+        remove_path(self.spark, self.path("staging", f"version={version}"))
+
     # ---- key index -------------------------------------------------------------------
 
     def _generation(self) -> Row | None:
@@ -521,6 +531,7 @@ class SeriesStore:
         remove_path(self.spark, self.path("key_index", f"generation={generation}", f"version={version}"))
         remove_path(self.spark, self.path("source_files", f"version={version}"))
         remove_path(self.spark, self.path(MANIFEST_FOLDER, version))
+        self.unstage(version)
 
     def _discard_events(self, version: str) -> None:
         check_label(version)
