@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -265,16 +266,21 @@ def nearest(
                     names=["leaf", "class", "vector"],
                 )
 
-    def in_leaves(source: DataFrame, step: object) -> DataFrame:
+    leaves = max(1, int((forest.leaf >= 0).sum()))
+    opened = max(reach * forest.sampled, LEAST) * leaves / max(1, trees * forest.sampled)
+
+    def in_leaves(source: DataFrame, step: object, times: float) -> DataFrame:
         fields = [T.StructField("leaf", T.IntegerType()), source.schema["class"], source.schema["vector"]]
         placed = source.select("class", "vector").mapInArrow(step, T.StructType(fields))
-        # A leaf of many rows is dealt to several tasks.
-        part = F.pmod(F.xxhash64("class"), F.lit(16))
+        # Leaves of more than a block of rows, each vector being in ``times``, are dealt to
+        # several tasks; small ones stay whole, so that a block has few best rows to pass on.
+        parts = ceil(source.count() * min(times, leaves) / leaves / BLOCK)
+        part = F.pmod(F.xxhash64("class"), F.lit(max(1, parts)))
         return placed.repartition("leaf", part).sortWithinPartitions("leaf")
 
     asking = scratch.table(_classes(rows.where("asks").select("id", "vector"), 1).select("hash", "vector", "class"))
-    candidates = scratch.table(_packed(in_leaves(classes, place), ["classes", "vectors"]))
-    asked = scratch.table(_packed(in_leaves(asking, ask), ["askers", "queries"]))
+    candidates = scratch.table(_packed(in_leaves(classes, place, trees), ["classes", "vectors"]))
+    asked = scratch.table(_packed(in_leaves(asking, ask, opened), ["askers", "queries"]))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
