@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Callable, Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -12,12 +13,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import Scratch
 from tidemark.llm.labelled import held_out, labelled_sample, one_each, with_labels
 
-# Labelled documents of each class a model is fitted on, at most; those of more distinct
-# words are not learned from (they are scored like all others).
+# Labelled documents of each class a model is fitted on, at most, of whatever length.
 PER_CLASS = 1200
-LEARN_WORDS = 20_000
 # Grades above 0, features kept, documents a feature must occur in, lengths of prefixes.
 GRADES = 3
 FEATURES = 3000
@@ -26,6 +26,8 @@ PREFIXES = (4, 5, 6)
 # A feature is evidence of toxicity if it is so many times as likely in toxic documents.
 EVIDENCE = 8.0
 STEPS, RATE, DECAY = 400, 0.05, 2e-4
+# Words whose features a task remembers at once.
+REMEMBERED = 500_000
 
 # ASCII letters and all bytes beyond ASCII make up tokens.
 _TOKEN = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -39,25 +41,40 @@ def tokens(text: str | None) -> Counter[bytes]:
 def features(words: Mapping[bytes, int]) -> Counter[bytes]:
     """Tokens and their first letters (marked by a hyphen), with counts. Stems that take
     endings or parts of compounds share a prefix."""
-    out: Counter[bytes] = Counter(words)
+    out: Counter[bytes] = Counter()
     for word, times in words.items():
-        for size in PREFIXES:
-            if len(word) >= size:
-                out[word[:size] + b"-"] += times
+        for feature in features_of(word):
+            out[feature] += times
     return out
 
 
+def features_of(word: bytes) -> list[bytes]:
+    return [word, *(word[:size] + b"-" for size in PREFIXES if len(word) >= size)]
+
+
 @dataclass
 class Model:
     """Shared weights of the features and the rising thresholds between the grades."""
 
     weights: dict[bytes, float]
     thresholds: np.ndarray
+    _hits: dict[bytes, tuple[bytes, ...]] = field(default_factory=dict, repr=False, compare=False)
+
+    def hits(self, word: bytes) -> tuple[bytes, ...]:
+        """The features of a word that have a weight; most words have none."""
+        found = self._hits.get(word)
+        if found is None:
+            if len(self._hits) >= REMEMBERED:
+                self._hits.clear()
+            found = self._hits[word] = tuple(f for f in features_of(word) if f in self.weights)
+        return found
 
     def predictor(self, text: str | None) -> float:
-        found = features(tokens(text))
-        get = self.weights.get
-        return float(sum(w * np.log1p(n) for f, n in found.items() if (w := get(f)) is not None))
+        counts: dict[bytes, int] = {}
+        for word, times in tokens(text).items():
+            for feature in self.hits(word):
+                counts[feature] = counts.get(feature, 0) + times
+        return math.fsum(self.weights[f] * math.log1p(n) for f, n in counts.items())
 
     def at_least(self, predictors: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k from 1, one column each."""
@@ -84,30 +101,22 @@ def _odds(bags: list[Counter[bytes]], toxic: np.ndarray) -> dict[bytes, tuple[in
     return out
 
 
-def grades_from_labels(words: list[Mapping[bytes, int]], toxic: np.ndarray, evidence: set[bytes]) -> np.ndarray:
+def grades_from_labels(counts: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Severity grades for binary labels: 0 for clean documents; toxic ones are cut into equal
-    parts by how many of their tokens are evidence."""
-    counts = np.array(
-        [
-            sum(n for w, n in bag.items() if w in evidence or any(w[:k] + b"-" in evidence for k in PREFIXES))
-            for bag in words
-        ],
-        np.float64,
-    )
+    parts by ``counts``, how many of their tokens are evidence."""
     cuts = np.quantile(counts[toxic == 1], np.arange(1, GRADES) / GRADES)
     return np.where(toxic == 1, 1 + (counts[:, None] > cuts).sum(axis=1), 0)
 
 
 def fit(words: list[Counter[bytes]], toxic: np.ndarray, totals: tuple[int, int]) -> Model:
-    """Weights by Adam on the likelihood of the grades; clean and toxic documents weigh alike.
-    Without both classes nothing is learned and every text gets the share of toxic labels."""
+    """The model of token counts that are in memory already; ``train`` gives the same without
+    bringing them there."""
     if len(np.unique(toxic)) < 2:
-        share = (totals[1] + 0.5) / (totals[0] + totals[1] + 1.0)
-        return Model({}, np.log((1 - share) / share) + np.arange(GRADES, dtype=np.float64))
+        return _unlearned(totals)
     bags = [features(bag) for bag in words]
     odds = _odds(bags, toxic)
-    evidence = {f for f, (_, o, z) in odds.items() if o >= np.log(EVIDENCE) and z > 3}
-    grade = grades_from_labels(words, toxic, evidence)
+    evidence = {f for f, (_, o, z) in odds.items() if o >= math.log(EVIDENCE) and z > 3}
+    counts = [sum(n for w, n in bag.items() if not evidence.isdisjoint(features_of(w))) for bag in words]
     kept = sorted(odds, key=lambda f: (-abs(odds[f][2]), f))[:FEATURES]
     number = {f: i for i, f in enumerate(kept)}
     row, column, value = [], [], []
@@ -116,18 +125,32 @@ def fit(words: list[Counter[bytes]], toxic: np.ndarray, totals: tuple[int, int])
             if feature in number:
                 row.append(i)
                 column.append(number[feature])
-                value.append(np.log1p(n))
-    row, column, value = np.array(row, int), np.array(column, int), np.array(value)
+                value.append(n)
+    grade = grades_from_labels(np.array(counts, np.float64), toxic)
+    return _descend(kept, grade, (np.array(row, int), np.array(column, int), np.log1p(np.array(value))))
+
+
+def _unlearned(totals: tuple[int, int]) -> Model:
+    """Without both classes nothing is learned and every text gets the share of toxic labels."""
+    share = (totals[1] + 0.5) / (totals[0] + totals[1] + 1.0)
+    return Model({}, np.log((1 - share) / share) + np.arange(GRADES, dtype=np.float64))
+
+
+def _descend(kept: list[bytes], grade: np.ndarray, entries: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Model:
+    """Weights by Adam on the likelihood of the grades; clean and toxic documents weigh alike.
+    ``entries`` is the matrix: documents, features, values."""
+    row, column, value = entries
+    toxic = (grade > 0).astype(int)
     importance = np.where(toxic == 1, 0.5 / (toxic == 1).sum(), 0.5 / (toxic == 0).sum())
     p = {"w": np.zeros(len(kept)), "t": np.concatenate(([0.5], np.zeros(GRADES - 1)))}
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    at = np.arange(len(bags))
+    at = np.arange(len(grade))
     for step in range(1, STEPS + 1):
         steps_up = np.exp(p["t"][1:])
         thresholds = p["t"][0] + np.concatenate(([0.0], np.cumsum(steps_up)))
-        eta = np.bincount(row, value * p["w"][column], len(bags))
+        eta = np.bincount(row, value * p["w"][column], len(grade))
         # P(grade >= k), from 1 for k = 0 to 0 beyond the last grade.
-        reach = np.column_stack([np.ones(len(bags)), _sigmoid(eta[:, None] - thresholds), np.zeros(len(bags))])
+        reach = np.column_stack([np.ones(len(grade)), _sigmoid(eta[:, None] - thresholds), np.zeros(len(grade))])
         slope = reach * (1 - reach)
         likelihood = np.maximum(reach[at, grade] - reach[at, grade + 1], 1e-12)
         d_reach = np.zeros_like(reach)
@@ -158,31 +181,99 @@ def train(
     per_class: int = PER_CLASS,
 ) -> Model:
     """The model of at most ``per_class`` labelled documents of each class outside the
-    held-out quarter; of several rows of an id one counts. Only the distinct tokens of those
-    reach the driver."""
+    held-out quarter, whole texts; of several rows of an id one counts.
+
+    The driver gets labels and evidence counts of these documents and the values of at most
+    ``FEATURES`` features in them. Tokens are counted, and features chosen, in tasks, so the
+    length of a document has no bound and nothing on the driver grows with it.
+    """
+    scratch = Scratch(docs.sparkSession)
     sample = labelled_sample(labels, label, per_class)
     text = with_labels(docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text")), sample, "doc")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bags = [tokens(v.as_py()) for v in batch.column(4)]
-            bags = [b if len(b) <= LEARN_WORDS else None for b in bags]
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:4],
-                    pa.array([None if b is None else b" ".join(b) for b in bags], pa.binary()),
-                    pa.array([None if b is None else np.fromiter(b.values(), np.int32, len(b)).tobytes() for b in bags], pa.binary()),
+                    pa.array([b" ".join(b) for b in bags], pa.binary()),
+                    pa.array([np.fromiter(b.values(), np.int32, len(b)).tobytes() for b in bags], pa.binary()),
                 ],
                 names=["place", "content", "label", "total", "words", "times"],
             )
 
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = batch.column(2)[i].as_py().split()
+                times = np.frombuffer(batch.column(3)[i].as_py(), np.int32)
+                owner = pa.array(np.full(len(words), i))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(words, pa.binary()), pa.array(times)],
+                    names=["place", "label", "word", "times"],
+                )
+
     counted = text.select(F.md5(F.col("doc").cast("string")).alias("place"), F.xxhash64("text").alias("content"), "label", "total", "text").mapInArrow(
         count, "place string, content bigint, label int, total bigint, words binary, times binary"
     )
-    found = sorted(one_each(counted.where("words is not null")).collect(), key=lambda r: (r.place, r.label, r.words))
-    bags = [Counter(dict(zip(r.words.split(), np.frombuffer(r.times, np.int32).tolist()))) for r in found]
+    chosen = scratch.table(one_each(counted))
+    found = sorted(chosen.select("place", "label", "total").collect())
     totals = {r.label: r.total for r in found}
-    return fit(bags, np.array([r.label for r in found], int), (totals.get(0, 0), totals.get(1, 0)))
+    toxic = np.array([r.label for r in found], int)
+    if len(totals) < 2:
+        scratch.keep_only()
+        return _unlearned((totals.get(0, 0), totals.get(1, 0)))
+    words = chosen.select("place", "label", "words", "times").mapInArrow(
+        unpack, "place string, label int, word binary, times int"
+    )
+    prefixes = [
+        F.when(F.length("word") >= size, F.concat(F.substring("word", 1, size), F.lit(b"-"))) for size in PREFIXES
+    ]
+    named = words.withColumn("feature", F.explode(F.array_compact(F.array("word", *prefixes))))
+    named = scratch.table(named)
+    stats = scratch.table(_weighed(named, (toxic == 0).sum() + 1.0, (toxic == 1).sum() + 1.0))
+    strongest = stats.orderBy(F.abs("z").desc(), "feature").limit(FEATURES)
+    kept = [bytes(r.feature) for r in strongest.select("feature").collect()]
+    spark = docs.sparkSession
+    numbers = spark.createDataFrame(list(enumerate(kept)), "number int, feature binary")
+    entries = (
+        named.join(F.broadcast(numbers), "feature")
+        .groupBy("place", "number")
+        .agg(F.sum("times").alias("times"))
+        .orderBy("place", "number")
+        .toArrow()
+    )
+    evidence = stats.where((F.col("odds") >= math.log(EVIDENCE)) & (F.col("z") > 3)).select("feature")
+    marks = (
+        named.join(evidence, "feature", "left_semi")
+        .groupBy("place", "word")
+        .agg(F.first("times").alias("times"))
+        .groupBy("place")
+        .agg(F.sum("times").alias("times"))
+    )
+    marked = {r.place: r.times for r in marks.collect()}
+    scratch.keep_only()
+    grade = grades_from_labels(np.array([marked.get(r.place, 0) for r in found], np.float64), toxic)
+    at = {r.place: i for i, r in enumerate(found)}
+    row = np.array([at[p] for p in entries.column("place").to_pylist()], int)
+    return _descend(kept, grade, (row, entries.column("number").to_numpy(), np.log1p(entries.column("times").to_numpy())))
+
+
+def _weighed(named: DataFrame, clean: float, toxic: float) -> DataFrame:
+    """Of each feature in enough documents its log odds and their z value, as ``_odds``."""
+    seen = (
+        named.select("feature", "place", "label")
+        .distinct()
+        .groupBy("feature")
+        .agg(F.count(F.lit(1)).alias("docs"), F.sum("label").alias("bad"))
+        .where(F.col("docs") >= LEAST_DOCS)
+    )
+    bad, good = F.col("bad"), F.col("docs") - F.col("bad")
+    parts = [bad + 0.5, F.lit(float(toxic)) - bad + 0.5, good + 0.5, F.lit(float(clean)) - good + 0.5]
+    odds = F.log(parts[0] / parts[1]) - F.log(parts[2] / parts[3])
+    error = F.sqrt(sum((1 / p for p in parts[1:]), 1 / parts[0]))
+    return seen.select("feature", odds.alias("odds"), (odds / error).alias("z"))
 
 
 def predictor(model: Model) -> Callable[[Column], Column]:
