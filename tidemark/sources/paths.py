@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -42,6 +43,24 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def move_if_absent(spark: SparkSession, source: str, target: str) -> bool:
+    """Renames a file unless there is one of the new name; returns whether it did. Where the
+    file system renames atomically, one of several callers succeeds."""
+    file_system, new = _file_system(spark, target)
+    old = file_system.makeQualified(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source))
+    file_system.mkdirs(new.getParent())
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    context = fs.FileContext.getFileContext(file_system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    no_overwrite = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    try:
+        context.rename(old, file_system.makeQualified(new), no_overwrite)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     file_system, target = _file_system(spark, path)
     file_system.delete(target, True)

@@ -8,14 +8,15 @@
     source_files/version=V/                    hash of every source file V was made from
     series_marks/version=V/                    latest time per series as of V, if asked for
     manifest_files/V/manifest.json             the manifest of version V for other tools
-    manifests/                                 one row per version; writing it is the commit
+    manifests/after-U.parquet                  the version that follows U; naming it so is the commit
     projections/year=Y/month=MM/               latest row per key, rebuilt per month
     month_status/                              log of month rebuilds
 
 Every reader of events and index keeps only versions that have a manifest row, so what a
 failed run leaves behind is never seen. The driver compares version labels, one per run,
 with directory names, and the scan gets a plain partition filter: no join over the rows.
-One writer per dataset is assumed, and labels only grow.
+Labels only grow. The file of a manifest is named after the version before it and renamed to
+that name only if it is free, so of several writers one follows each version.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 import json
 import re
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -36,7 +38,7 @@ from tidemark.functions.labels import MANIFEST_FOLDER, POINTER_SUFFIX, two_digit
 from tidemark.operators.delta import prune_index, rebuild_index
 from tidemark.operators.normalize import add_year_month
 from tidemark.sources.local import local_rows, no_rows
-from tidemark.sources.paths import child_names, has_entries, path_exists, remove_path, write_text
+from tidemark.sources.paths import child_names, has_entries, move_if_absent, path_exists, remove_path, write_text
 from tidemark.sources.tabular import read_table
 
 _LABEL = re.compile(r"^[0-9A-Za-z._-]+$")
@@ -155,7 +157,10 @@ class SeriesStore:
         source: Row | None,
         created_at: datetime,
         batch: tuple[str, int] | None = None,
-    ) -> None:
+        after: str | None = None,
+    ) -> bool:
+        """Commit ``version`` as what follows ``after`` (None: nothing); False if another
+        version does already."""
         row = {
             "dataset_id": self.dataset_id,
             "version": version,
@@ -180,11 +185,23 @@ class SeriesStore:
         }
         self._write_manifest_json(row)
         labels, _ = self._manifest_state()
-        self._append("manifests", [row], S.MANIFEST)
+        if not self._commit(row, after):
+            return False
         files = frozenset(child_names(self.spark, self.path("manifests")))
         if len(files - self._seen[0]) == 1:
             # What was just written, and nothing else, is new: it need not be read again.
             self._seen = (files, [*labels, version], _as_row(row, S.MANIFEST))
+        return True
+
+    def _commit(self, row: dict, after: str | None) -> bool:
+        folder = self.path("staging", f"manifest={uuid.uuid4().hex}")
+        local_rows(self.spark, [row], S.MANIFEST).coalesce(1).write.parquet(folder)
+        try:
+            [part] = [name for name in child_names(self.spark, folder) if name.endswith(".parquet")]
+            name = f"after-{after}.parquet" if after else "first.parquet"
+            return move_if_absent(self.spark, f"{folder}/{part}", self.path("manifests", name))
+        finally:
+            remove_path(self.spark, folder)
 
     def _write_manifest_json(self, row: dict) -> None:
         """The same for other tools, before the commit, so that no notice leads nowhere."""

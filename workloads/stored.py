@@ -34,6 +34,7 @@ from workloads.registry import query
 from workloads.views import (
     ORDER_KEYS,
     ORDERS,
+    SNAPSHOT_ENDS,
     VERSIONS,
     ZONE,
     build_order_store,
@@ -300,6 +301,39 @@ def publish_two_versions(spark, sf_dir):
     return reads.manifest_summary(store)
 
 
+class _Overtaken(SeriesStore):
+    """A store in which another writer commits just before the first commit of this one."""
+
+    other = None
+
+    def append_manifest(self, *args, **kwargs):
+        other, self.other = self.other, None
+        if other:
+            other()
+        return super().append_manifest(*args, **kwargs)
+
+
+@query(
+    f"""SELECT o_orderkey AS order_key, o_orderpriority AS internal_series_code, o_totalprice AS value,
+        CASE WHEN o_orderdate < '{SNAPSHOT_ENDS[1]}' THEN '{VERSIONS[0]}' ELSE '{VERSIONS[1]}' END AS version,
+        {q.time_text('o_orderdate')} AS obs_time
+    FROM orders"""
+)
+def publish_by_two_writers(spark, sf_dir):
+    """Two writers start from nothing with overlapping rows; the one that commits second leaves
+    out what the first added."""
+    store = _Overtaken(spark, scratch(spark), "orders")
+    early = order_snapshot(spark, sf_dir, 1)
+    late = order_observations(spark, sf_dir).where(F.col("obs_time") >= F.lit(SNAPSHOT_ENDS[0]).cast("timestamp_ntz"))
+
+    def commit(at: SeriesStore, rows: DataFrame, number: int) -> None:
+        publish(at, enrich(rows, ORDERS, VERSIONS[number], run_time(number)), VERSIONS[number], ORDER_KEYS, None, zone=ZONE)
+
+    store.other = lambda: commit(SeriesStore(spark, store.base.rpartition("/")[0], "orders"), early, 0)
+    commit(store, late, 1)
+    return _rows(store.events())
+
+
 @query(
     f"""WITH {q.OBS_O} SELECT version, COUNT(*) AS n, {q.cents('value')} AS total_cents FROM obs_o
     GROUP BY version"""
