@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,3 +54,25 @@ def source_changes(current: DataFrame, last: DataFrame, full_reload: bool = Fals
         "last_sha256",
         (changed | F.lit(full_reload)).alias("changed"),
     )
+
+
+def file_reads(
+    changes: DataFrame, reads: DataFrame, how: str, since: datetime | None, version: str
+) -> DataFrame:
+    """``(path, how, since, read_version)`` of the files of a run: those with ``read_version``
+    equal to ``version`` are to be read, the others keep their entry in ``reads``.
+
+    A file need not be read again if its content is the same, it was read in the same way
+    (``how``), and for all rows that are wanted now: all of them, or those after a time that is
+    not later than ``since``. What it can give was published then or is known since.
+    """
+    cutoff = F.lit(since.isoformat(sep=" ") if since else None).cast("timestamp_ntz")
+    last = reads.select("path", *[F.col(c).alias(f"_last_{c}") for c in ("how", "since", "read_version")])
+    covers = F.col("_last_since").isNull() | (F.col("_last_since") <= cutoff)
+    same = F.coalesce(~F.col("changed") & (F.col("_last_how") == how) & covers, F.lit(False))
+    return changes.join(last, "path", "left").select(
+        "path",
+        F.lit(how).alias("how"),
+        F.when(same, F.col("_last_since")).otherwise(cutoff).alias("since"),
+        F.when(same, F.col("_last_read_version")).otherwise(F.lit(version)).alias("read_version"),
+    )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
 
@@ -15,7 +16,7 @@ from tidemark.functions.labels import version_label
 from tidemark.operators import normalize
 from tidemark.operators.delta import relevant_index, without_known
 from tidemark.operators.enrich import enrich
-from tidemark.operators.fingerprint import source_changes
+from tidemark.operators.fingerprint import file_reads, source_changes
 from tidemark.operators.watermark import (
     effective_cutoff,
     filter_newer,
@@ -26,11 +27,18 @@ from tidemark.plans.consolidation import consolidate_months
 from tidemark.plans.publish import NO_ROWS, publish
 from tidemark.plans.registry import extractor_of, is_generic, normalizer_of
 from tidemark.plans.repair import repair_index, repair_months
+from tidemark.sources.paths import literal_path
 from tidemark.spec import DatasetSpec
 from tidemark.store import Month, SeriesStore, check_label
 
 WATERMARK_SCOPES = ("dataset", "series", "off")
 
+# Paths given to a reader; with more files to read it reads the whole source, for the same rows.
+MAX_PATHS = 100_000
+
+# Reads the given files, or the whole source.
+Reader = Callable[[list[str] | None], DataFrame]
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -44,6 +52,8 @@ class RunResult:
     reason: str = ""
     mended_months: tuple[Month, ...] = ()
     counts: RowCounts | None = None
+    # How many source files a reader was asked for.
+    files_read: int | None = None
 
 
 @dataclass(frozen=True)
@@ -61,7 +71,7 @@ class RowCounts:
 def run_ingest(
     spark: SparkSession,
     spec: DatasetSpec,
-    raw: DataFrame,
+    raw: DataFrame | Reader,
     root: str,
     run_time: datetime | None = None,
     version: str | None = None,
@@ -78,7 +88,11 @@ def run_ingest(
     """Extract, normalise, keep what is new, stamp, publish, rebuild touched months.
 
     ``sources`` are the fingerprints of the files behind ``raw``; if none changed since
-    the current version nothing runs, unless ``full_reload``. ``watermark`` keeps rows
+    the current version nothing runs, unless ``full_reload``. If ``raw`` is a function from paths
+    to a DataFrame, it is asked only for the files that can bring anything: new and changed ones,
+    and those last read in another way (another spec or scope) or for later rows alone. The
+    result is that of reading all, for extractors that look at one file at a time; after a change
+    inside a plugin ``full_reload`` is needed. ``watermark`` keeps rows
     later than the last version's latest time (``dataset``), than each series' own
     (``series``), or all rows (``off``), leaving the choice to the key index alone.
     ``verify_index`` counts the index against the manifest first, and rebuilds it if they
@@ -87,24 +101,29 @@ def run_ingest(
     ``raw``, for the manifest.
 
     A row later than ``spec.horizon_days`` after the run time fails the run, with nothing
-    published: as the watermark it would silently stop all later rows. A source of which every row was rejected for its time or value fails the run. With
+    published: as the watermark it would silently stop all later rows. A source, or the files
+    read of it, of which every row was rejected for its time or value fails the run. With
     ``count_rows`` the result tells what became of the rows, at the price of one more pass
     over their times and values; rows that the scan already left out as too old are not
     among them. Both need the library's own normaliser.
     """
     if watermark not in WATERMARK_SCOPES:
         raise ValueError(f"watermark must be one of {WATERMARK_SCOPES}")
+    if callable(raw) and sources is None:
+        raise ValueError("a reader of files needs their fingerprints as sources")
     run_time = run_time or datetime.now(timezone.utc)
     version = version or version_label(run_time)
     run_id = run_id or str(uuid.uuid4())
     store = SeriesStore(spark, root, spec.dataset_id)
 
     mended: list[Month] = []
+    files_read: int | None = None
 
     def finished(reason: str) -> RunResult:
         return RunResult(
-            spec.dataset_id, run_id, version, False, reason=reason, mended_months=tuple(mended)
-        )
+            spec.dataset_id, run_id, version, False, reason=reason, mended_months=tuple(mended),
+            files_read=files_read,
+        )
 
     if verify_index:
         repair_index(store, spec.timezone, spec.escape_separator)
@@ -116,19 +135,29 @@ def run_ingest(
     if current_version is not None and version <= current_version:
         raise ValueError(f"version {version} is not later than {current_version}")
 
+    since = None
+    if current is not None and watermark == "dataset" and current.outputs.max_obs_time:
+        since = effective_cutoff(current.outputs.max_obs_time, lag_days)
     if sources is not None:
         # Written first and read back, so that no file is hashed twice.
         store.write_source_files(version, sources)
         changes = source_changes(
             store.source_files(version), store.source_files(current_version), full_reload
         )
-        if not changes.where(F.col("changed")).limit(1).count():
+        if callable(raw):
+            how = _way_of_reading(spec, watermark, lag_days)
+            before = store.file_reads(current_version)
+            store.write_file_reads(version, file_reads(changes, before, how, since, version))
+            changed = store.file_reads(version).where(F.col("read_version") == version)
+        else:
+            changed = changes.where("changed")
+        files_read = changed.count() if callable(raw) else None
+        if files_read == 0 or (files_read is None and not changed.limit(1).count()):
             store.discard(version)
             return finished("source unchanged")
+        if callable(raw):
+            raw = raw(_paths(changed) if files_read <= MAX_PATHS else None)
 
-    since = None
-    if current is not None and watermark == "dataset" and current.outputs.max_obs_time:
-        since = effective_cutoff(current.outputs.max_obs_time, lag_days)
     extracted = extractor_of(spec)(spec, raw)
     if is_generic(spec):
         # Before anything is parsed or checked, so that the scan leaves old rows out.
@@ -190,6 +219,7 @@ def run_ingest(
         result.months,
         mended_months=tuple(mended),
         counts=counts,
+        files_read=files_read,
     )
 
 
@@ -205,6 +235,17 @@ def _count(spec: DatasetSpec, rows: DataFrame, since: datetime | None, added: in
     )
 
 
+def _way_of_reading(spec: DatasetSpec, watermark: str, lag_days: int) -> str:
+    """What, beside its content and the cutoff of the dataset, decides what a file gives. Marks
+    of series only move on, so there the lag alone counts."""
+    lag = lag_days if watermark == "series" else None
+    return hashlib.sha256(repr((spec, watermark, lag)).encode()).hexdigest()
+
+
+def _paths(files: DataFrame) -> list[str]:
+    return sorted(literal_path(r.path) for r in files.select("path").collect())
+
+
 def _horizon(spec: DatasetSpec, run_time: datetime) -> datetime | None:
     if spec.horizon_days is None:
         return None

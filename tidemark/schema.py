@@ -71,6 +71,17 @@ SOURCE_FILE = T.StructType(
     ]
 )
 
+# How a source file was last read: by which description and scope, for rows after which time
+# (null: all), and for which version.
+FILE_READ = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("how", T.StringType()),
+        T.StructField("since", T.TimestampNTZType()),
+        T.StructField("read_version", T.StringType()),
+    ]
+)
+
 MONTH_STATS = T.StructType(
     [
         T.StructField("year", T.IntegerType()),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -19,6 +21,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(target)
 
 
+def literal_path(path: str) -> str:
+    """The path as a reader takes it, where a name may hold the marks of a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of visible entries of a directory; none if it is missing."""
     file_system, target = _file_system(spark, path)

@@ -6,6 +6,7 @@
     index_generations/                         which generation is current
     staging/version=V/                         rows of a batch while their keys are looked up
     source_files/version=V/                    hash of every source file V was made from
+    file_reads/version=V/                      when and how each of these files was last read
     series_marks/version=V/                    latest time per series as of V, if asked for
     manifest_files/V/manifest.json             the manifest of version V for other tools
     manifests/after-U.parquet                  the version that follows U; naming it so is the commit
@@ -468,6 +469,15 @@ class SeriesStore:
             return no_rows(self.spark, S.SOURCE_FILE)
         return read_table(self.spark, self.path("source_files", f"version={version}"), S.SOURCE_FILE)
 
+    def write_file_reads(self, version: str, reads: DataFrame) -> None:
+        target = self.path("file_reads", f"version={version}")
+        reads.select(*S.FILE_READ.names).write.mode("overwrite").parquet(target)
+
+    def file_reads(self, version: str | None) -> DataFrame:
+        if version is None:
+            return no_rows(self.spark, S.FILE_READ)
+        return read_table(self.spark, self.path("file_reads", f"version={version}"), S.FILE_READ)
+
     # ---- projections -----------------------------------------------------------------
 
     def write_projections(self, rows: DataFrame) -> None:
@@ -547,6 +557,7 @@ class SeriesStore:
         generation = self.index_generation()
         remove_path(self.spark, self.path("key_index", f"generation={generation}", f"version={version}"))
         remove_path(self.spark, self.path("source_files", f"version={version}"))
+        remove_path(self.spark, self.path("file_reads", f"version={version}"))
         remove_path(self.spark, self.path(MANIFEST_FOLDER, version))
         self.unstage(version)
 

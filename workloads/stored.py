@@ -27,6 +27,7 @@ from tidemark.operators.enrich import enrich
 from tidemark.plans import reads
 from tidemark.sources.local import local_rows
 from tidemark.sources.paths import remove_path
+from tidemark.sources.snapshots import fingerprint_files
 from tidemark.sources.tabular import read_manifest_json
 from tidemark.store import latest_month_status
 from workloads import sql as q
@@ -359,6 +360,40 @@ def ingest_snapshots(spark, sf_dir):
     return _by_month(build_order_store(spark, sf_dir, scratch(spark)).projections())
 
 
+@query(
+    f"""WITH {q.OBS_O} SELECT version, COUNT(*) AS n, {q.cents('value')} AS total_cents, slices_read FROM (
+        SELECT CASE WHEN version = '{VERSIONS[0]}' THEN version ELSE '{VERSIONS[1]}' END AS version, value,
+               CASE WHEN version = '{VERSIONS[0]}' THEN 8 ELSE 1 END AS slices_read
+        FROM obs_o WHERE version = '{VERSIONS[0]}' OR order_key % 8 = 3) GROUP BY version, slices_read"""
+)
+def ingest_changed_files(spark, sf_dir):
+    """Eight landed folders, of which one is replaced: only its files are read."""
+    root = scratch(spark)
+    landing, columns = f"{root}/landing", order_observations(spark, sf_dir).schema
+    in_slices = order_snapshot(spark, sf_dir, 0).withColumn("slice", F.col("order_key") % 8)
+    in_slices.write.partitionBy("slice").parquet(landing)
+
+    counts = []
+
+    def read(paths):
+        slices = {path.split("/")[-2] for path in paths} if paths else range(8)
+        counts.append({"version": VERSIONS[len(counts)], "slices_read": len(slices)})
+        return spark.read.schema(columns).parquet(*(paths or [landing]))
+
+    for number in range(2):
+        if number:
+            whole = order_observations(spark, sf_dir).where("order_key % 8 = 3")
+            whole.write.mode("overwrite").parquet(f"{landing}/slice=3")
+        files = fingerprint_files(spark, landing, "*.parquet")
+        run_ingest(
+            spark, ORDERS, read, f"{root}/store", run_time=run_time(number), sources=files, watermark="off"
+        )
+    asked = local_rows(spark, counts, T.StructType().add("version", "string").add("slices_read", "integer"))
+    events = SeriesStore(spark, f"{root}/store", "orders").events()
+    added = events.groupBy("version").agg(F.count(F.lit(1)).alias("n"), cents("value").alias("total_cents"))
+    return added.join(asked, "version")
+
+
 @query(
     f"""WITH {q.OBS_O} SELECT COUNT(*) AS n, {q.cents('value')} AS total_cents,
         COUNT(DISTINCT {q.STORED_HASH.replace('o_orderdate', 'obs_time').replace('o_orderkey', 'order_key')}) AS keys
