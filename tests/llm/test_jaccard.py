@@ -17,6 +17,8 @@ from test_copies import components  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from tidemark.llm import jaccard  # noqa: E402
+from tidemark.llm.common import Scratch  # noqa: E402
+from tidemark.llm.simhash import near_pairs  # noqa: E402
 
 
 def plain_shingles(text, size=5):
@@ -102,3 +104,44 @@ def test_no_similar_pair_is_left_out(similarity):
 def test_no_rows(spark):
     docs = frame(spark, near_rows()).limit(0)
     assert jaccard.deduplicate(docs).collect() == []
+
+
+def test_the_last_join_has_one_shingle_for_each_set_of_nodes(spark):
+    """Texts 1 and 2 share shingles 10 to 19 and text 3 has 15 to 19 too: two sets of nodes."""
+    rows = [(t, n, t - 10, 100, n) for n in (1, 2) for t in range(10, 20)] + [(t, 3, t - 15, 100, 3) for t in range(15, 20)]
+    index = spark.createDataFrame(rows, "token long, node long, place int, n long, root long")
+    kept = {(r.token, r.node) for r in jaccard._one_token_a_set(index).collect()}
+    assert kept == {(10, 1), (10, 2), (15, 1), (15, 2), (15, 3)}
+
+
+def test_fingerprints_find_the_first_links_without_pairing_copies(spark):
+    """Forty nodes of one fingerprint and one two bits off: a pair with the least for each."""
+    prints = spark.createDataFrame([(n, 7) for n in range(1, 41)] + [(50, 4), (60, -1)], "node long, fp long")
+    pairs = [(r.a, r.b) for r in jaccard._fingerprint_pairs(prints, Scratch(spark)).collect()]
+    assert sorted(set(pairs)) == [(1, n) for n in range(2, 41)] + [(1, 50)]
+    assert len(pairs) == len(set(pairs))
+
+
+def test_the_near_stage_uses_the_fingerprints(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jaccard, "near_pairs", lambda prints, *given: seen.append(prints) or near_pairs(prints, *given))
+    docs = frame(spark, near_rows()[:40])
+    corpus_pipeline.near(spark, docs, "").collect()
+    assert len(seen) == 1 and seen[0].columns == ["fp"]
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8])
+def test_places_leave_no_similar_pair_out(spark, similarity):
+    """The first shingle that two similar texts share in their prefixes passes the places."""
+    sets = [s for s in (jaccard.shingles(t) for _, t, _ in near_rows(11)) if len(s)]
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
+    first = [jaccard.prefix(s, *none, similarity)[0].tolist() for s in sets]
+    rows = []
+    for x, y in itertools.combinations(range(len(sets)), 2):
+        if jaccard.similar(sets[x], sets[y], similarity):
+            shared = next(t for t in first[x] if t in set(first[y]))
+            rows.append((len(sets[x]), first[x].index(shared), len(sets[y]), first[y].index(shared)))
+    pairs = spark.createDataFrame(rows, "n long, place int, m long, other int").selectExpr(
+        "struct(n, place) as l", "struct(m as n, other as place) as r"
+    )
+    assert rows and pairs.where(jaccard._places_fit("l", "r", similarity)).count() == len(rows)
