@@ -1,5 +1,6 @@
 """Extraction from wide tables, sheet rows, cells and real workbook files."""
 
+import io
 import os
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import CategorySpec, DatasetSpec, SeriesSpec, SeriesStore, run_ingest
 from tidemark.operators import extract
 from tidemark.operators.normalize import normalize
+from tidemark.sources import workbooks as reader
 from tidemark.sources.snapshots import fingerprint_files
 from tidemark.sources.workbooks import cells_of_rows, read_workbooks, sheet_rows
 from workloads.workbooks import letters, workbook_bytes
@@ -220,3 +222,15 @@ def test_ingest_of_workbooks_skips_an_unchanged_folder(spark, folder, root):
     assert store.projections().count() == 4
     units = dict(tuple(r) for r in store.projections().select("internal_series_code", "unit").distinct().collect())
     assert units == {"RATE": "pct", "BASE": None}
+
+
+def test_the_reader_keeps_every_kind_of_cell():
+    """Text runs, phonetic ones apart, cells without a reference, and a style on a blank cell."""
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    sheet = (
+        f'<worksheet {main}><sheetData><row><c><v>1</v></c><c s="1"><v>2.5</v></c><c s="1"/></row>'
+        '<row r="4"><c r="B4" t="inlineStr"><is><r><t>a &amp; </t></r><rPh><t>no</t></rPh><r><t>b</t></r></is></c>'
+        '<c t="b"><v>1</v></c><c t="e"><v>#N/A</v></c><c t="s"><v>1</v></c></row></sheetData></worksheet>'
+    )
+    found = reader._sheet(io.BytesIO(sheet.encode()), ["x", "y"], frozenset([1]), reader.DAY_ZERO)
+    assert list(found) == [(0, ["1", "1900-01-01 12:00:00", None]), (3, [None, "a & b", "True", None, "y"])]
