@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import consolidate
+from tidemark.operators.dedup import consolidate, with_series
 from tidemark.store import COMPLETED, EMPTY, FAILED, IN_PROGRESS, Month, SeriesStore, in_months
 
 
@@ -29,7 +30,8 @@ def consolidate_months(
     The latest row of a key among all versions is the latest among the stored one and the
     rows of later versions. So a month that was built to some version is merged with what
     was published since, and no event it has seen is read again; one without later versions
-    is left as it is. ``full`` builds the months from all their events, as is needed after a
+    is left as it is. Where later versions brought only keys that no row had before, as the
+    index tells, their rows are appended and no stored row is read. ``full`` builds the months from all their events, as is needed after a
     change of ``keys`` or ``tie_breakers``.
 
     ``only_incomplete`` leaves out months whose last completed rebuild has seen all their
@@ -49,18 +51,30 @@ def consolidate_months(
         return []
 
     version = store.current_version()
+    interrupted = store.interrupted_months(wanted)
     store.append_month_status(wanted, IN_PROGRESS, version)
     built = {} if full else store.built_versions(wanted)
     published = store.versions_in(wanted)
     stale = {m for v, m in published if v > built.get(m, "")}
+    pending = [(v, m) for v, m in published if v > built.get(m, "")]
+    appendable = set() if full else _with_new_keys_only(store, keys, pending, built, interrupted)
 
     def build(part: list[Month]) -> None:
-        before = {m: built[m] for m in part if m in built}
-        rows = store.events_in(part, skip_unreadable, before)
-        if before:
-            kept = store.projections().where(in_months(list(before)))
-            rows = kept.unionByName(rows.select(*kept.columns))
-        store.write_projections(consolidate(rows, keys, tie_breakers))
+        grown = [m for m in part if m in appendable]
+        # Whatever fails from here on is merged, which leaves out rows that are there already.
+        appendable.difference_update(part)
+        merged = sorted(set(part).difference(grown))
+        if merged:
+            before = {m: built[m] for m in merged if m in built}
+            rows = store.events_in(merged, skip_unreadable, before)
+            if before:
+                kept = store.projections().where(in_months(list(before)))
+                rows = kept.unionByName(rows.select(*kept.columns))
+            store.write_projections(consolidate(rows, keys, tie_breakers))
+        if grown:
+            rows = with_series(store.events_in(grown, skip_unreadable, built))
+            one_version_each = len(grown) == sum(m in set(grown) for _, m in pending)
+            store.write_projections(rows, append=True, in_place=one_version_each)
 
     failures = _isolated(build, [m for m in wanted if m in stale])
     if failures and len(failures) == len(wanted):
@@ -77,6 +91,33 @@ def consolidate_months(
     return completed
 
 
+def _with_new_keys_only(
+    store: SeriesStore,
+    keys: Sequence[str],
+    pending: Sequence[tuple[str, Month]],
+    built: dict[Month, str],
+    interrupted: set[Month],
+) -> set[Month]:
+    """Months whose pending rows each have a key of their own, in no row of the read model.
+
+    A version adds to the index the keys that it was the first to bring. Where these are as many
+    as its rows in a month, all its rows there have new keys. That needs the time in the key, one
+    spelling of keys in all versions, and a whole index. What an interrupted rebuild may have
+    written in part is left to the merge, and so is a month with many small files.
+    """
+    if not pending or "obs_time" not in keys or not store.hashed_alike(keys):
+        return set()
+    versions = sorted({v for v, _ in pending})
+    brought = store.index_rows(versions)
+    rows = store.months_of().where(F.col("version").isin(versions)).select("version", "year", "month", "rows")
+    counts = {(r.version, (r.year, r.month)): r["rows"] for r in rows.collect()}
+    months = {m for _, m in pending}
+    months -= {m for v, m in pending if brought.get((v, m)) != counts[v, m]}
+    # Not built, yet with files: nobody says which rows these hold.
+    months -= {m for m in months if m in interrupted or (m not in built and store.has_projection(m))}
+    return {m for m in months if not store.is_crowded(m)}
+
+
 def _isolated(build: Callable[[list[Month]], None], months: list[Month]) -> dict[Month, Exception]:
     """Runs ``build`` for all months, in as few calls as those that fail allow; returns these."""
     if not months:

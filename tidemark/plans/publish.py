@@ -142,6 +142,8 @@ def _attempt(
         _aware(created_at or datetime.now(timezone.utc)),
         batch,
         after,
+        zone,
+        escape_separator,
     ):
         return PublishResult(True, version, stats.rows, rows_total, tuple(stats.month_list)), delta
     return None, store.stage(version, events.select(*delta.columns))

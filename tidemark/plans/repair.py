@@ -39,7 +39,7 @@ def rebuild(
         known=None,
         generation=generation,
     )
-    store.append_generation(generation, manifest.version, keys)
+    store.append_generation(generation, manifest.version, keys, zone, escape_separator)
     return True
 
 

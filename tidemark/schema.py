@@ -59,6 +59,8 @@ INDEX_GENERATION = T.StructType(
         T.StructField("generation", T.IntegerType()),
         T.StructField("built_at_version", T.StringType()),
         T.StructField("rows_total", T.LongType()),
+        T.StructField("zone", T.StringType()),
+        T.StructField("escaped", T.BooleanType()),
         T.StructField("stamp", T.TimestampType()),
     ]
 )
@@ -134,6 +136,9 @@ MANIFEST = T.StructType(
                     T.StructField("path", T.StringType()),
                     T.StructField("key_columns", T.ArrayType(T.StringType())),
                     T.StructField("hash_column", T.StringType()),
+                    # How the keys were spelled; null in manifests that do not say.
+                    T.StructField("zone", T.StringType()),
+                    T.StructField("escaped", T.BooleanType()),
                 ]
             ),
         ),

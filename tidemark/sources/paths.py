@@ -35,6 +35,15 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [name for name in names if not name.startswith(("_", "."))]
 
 
+def child_sizes(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of the visible files of a directory; none if it is missing."""
+    file_system, target = _file_system(spark, path)
+    if not file_system.exists(target):
+        return []
+    files = [status for status in file_system.listStatus(target) if status.isFile()]
+    return [status.getLen() for status in files if not status.getPath().getName().startswith(("_", "."))]
+
+
 def has_entries(spark: SparkSession, path: str) -> bool:
     """Whether a written table directory holds anything but the commit marker."""
     return bool(child_names(spark, path))

@@ -39,7 +39,15 @@ from tidemark.functions.labels import MANIFEST_FOLDER, POINTER_SUFFIX, two_digit
 from tidemark.operators.delta import prune_index, rebuild_index
 from tidemark.operators.normalize import add_year_month
 from tidemark.sources.local import local_rows, no_rows
-from tidemark.sources.paths import child_names, has_entries, move_if_absent, path_exists, remove_path, write_text
+from tidemark.sources.paths import (
+    child_names,
+    child_sizes,
+    has_entries,
+    move_if_absent,
+    path_exists,
+    remove_path,
+    write_text,
+)
 from tidemark.sources.tabular import read_table
 
 _LABEL = re.compile(r"^[0-9A-Za-z._-]+$")
@@ -50,6 +58,11 @@ COMPLETED = "completed"
 EMPTY = "empty"
 FAILED = "failed"
 
+# A month of the read model with this many files below this size is written anew, if they hold
+# enough of it.
+MANY_FILES = 16
+SMALL_FILE = 1 << 25
+
 # The last time that Python can hold.
 _LAST_TIME = "9999-12-31 23:59:59.999999"
 
@@ -159,6 +172,8 @@ class SeriesStore:
         created_at: datetime,
         batch: tuple[str, int] | None = None,
         after: str | None = None,
+        zone: str | None = None,
+        escape_separator: bool = False,
     ) -> bool:
         """Commit ``version`` as what follows ``after`` (None: nothing); False if another
         version does already."""
@@ -182,6 +197,8 @@ class SeriesStore:
                 "path": self.path("key_index"),
                 "key_columns": list(key_columns),
                 "hash_column": S.KEY_HASH,
+                "zone": zone,
+                "escaped": escape_separator,
             },
         }
         self._write_manifest_json(row)
@@ -218,7 +235,7 @@ class SeriesStore:
             "version": row["version"],
             "created_at": row["created_at"].isoformat(),
             "outputs": {**counts, "files": sorted(folders)},
-            "index": row["index"],
+            "index": {k: row["index"][k] for k in ("path", "key_columns", "hash_column")},
         }
         target = self.path(MANIFEST_FOLDER, row["version"], POINTER_SUFFIX)
         write_text(self.spark, target, json.dumps(document, sort_keys=True))
@@ -441,19 +458,46 @@ class SeriesStore:
             hashes = hashes.select(S.KEY_HASH).distinct().withColumns(
                 {c: F.lit(None).cast("int") for c in ("year", "month")}
             )
-        _by_month(hashes, [S.KEY_HASH]).write.mode("errorifexists").partitionBy(
-            "year", "month"
-        ).parquet(target)
+        # Hashes hardly repeat, so a dictionary of them would be built in vain.
+        _by_month(hashes, [S.KEY_HASH]).write.mode("errorifexists").option(
+            "parquet.enable.dictionary", False
+        ).partitionBy("year", "month").parquet(target)
         written = T.StructType([f for f in S.KEY_INDEX.fields if f.name != "version"])
         if not has_entries(self.spark, target):
             return 0
         return self.spark.read.schema(written).parquet(target).count()
 
-    def append_generation(self, generation: int, version: str, rows_total: int) -> None:
+    def index_rows(self, versions: Sequence[str]) -> dict[tuple[str, Month], int]:
+        """Keys that some versions added to each month, from the footers of their index files."""
+        keys = self.index().where(F.col("version").isin(list(versions)) & F.col("month").isNotNull())
+        counts = keys.groupBy("version", "year", "month").agg(F.count(F.lit(1)).alias("n"))
+        return {(r.version, (r.year, r.month)): r.n for r in counts.collect()}
+
+    def hashed_alike(self, keys: Sequence[str]) -> bool:
+        """Whether all versions and the index in use have ``keys`` as their key, spelled alike, and
+        no key of the index is missing."""
+        spelled = self.manifests().select("index.key_columns", "index.zone", "index.escaped").distinct().limit(2).collect()
+        if len(spelled) != 1 or spelled[0].key_columns != list(keys) or spelled[0].escaped is None:
+            return False
+        rebuilt = self._generation()
+        if rebuilt is not None and (rebuilt.zone, rebuilt.escaped) != (spelled[0].zone, spelled[0].escaped):
+            return False
+        return self.index().count() == self.rows_total()
+
+    def append_generation(
+        self,
+        generation: int,
+        version: str,
+        rows_total: int,
+        zone: str | None = None,
+        escape_separator: bool = False,
+    ) -> None:
         row = {
             "generation": generation,
             "built_at_version": version,
             "rows_total": rows_total,
+            "zone": zone,
+            "escaped": escape_separator,
             "stamp": _now(),
         }
         self._append("index_generations", [row], S.INDEX_GENERATION)
@@ -480,24 +524,34 @@ class SeriesStore:
 
     # ---- projections -----------------------------------------------------------------
 
-    def write_projections(self, rows: DataFrame) -> None:
-        """Replace the months present in ``rows``; other months stay.
+    def write_projections(self, rows: DataFrame, append: bool = False, in_place: bool = False) -> None:
+        """Replace the months present in ``rows``, or ``append`` to them; other months stay.
 
-        Spark stages the new files and moves whole partitions at job commit.
+        Spark stages the new files and moves whole partitions at job commit. ``in_place`` rows
+        come month by month from few files, and are written by the tasks that read them.
         """
-        _by_month(rows, [c for c in (S.SERIES, "obs_time") if c in rows.columns]).write.mode(
-            "overwrite"
-        ).option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(
-            self.path("projections")
-        )
+        order = [c for c in (S.SERIES, "obs_time") if c in rows.columns]
+        body = _sorted_by_month(rows, order) if in_place else _by_month(rows, order)
+        body.write.mode("append" if append else "overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("year", "month").parquet(self.path("projections"))
+
+    def is_crowded(self, month: Month) -> bool:
+        """Whether small files hold much of a month's read model. They have to hold a quarter as
+        much as the others, so that writing it anew costs a fixed share of what was appended."""
+        sizes = child_sizes(self.spark, self._projection(month))
+        small = [s for s in sizes if s < SMALL_FILE]
+        return len(small) >= MANY_FILES and 4 * sum(small) >= sum(sizes) - sum(small)
 
     def projections(self) -> DataFrame:
         full = _with_partitions(self.event_schema())
         return read_table(self.spark, self.path("projections"), full).select(*full.names)
 
     def has_projection(self, month: Month) -> bool:
-        year, number = month
-        return has_entries(self.spark, self.path("projections", f"year={year}", f"month={number:02d}"))
+        return has_entries(self.spark, self._projection(month))
+
+    def _projection(self, month: Month) -> str:
+        return self.path("projections", f"year={month[0]}", f"month={month[1]:02d}")
 
     # ---- month status ----------------------------------------------------------------
 
@@ -549,6 +603,14 @@ class SeriesStore:
             if r["last"].version and (r["last"].status == EMPTY or self.has_projection((r.year, r.month)))
         }
 
+    def interrupted_months(self, months: Sequence[Month]) -> set[Month]:
+        """Months whose last rebuild began for a version and did not complete."""
+        done = F.when(F.col("status").isin(COMPLETED, EMPTY), F.col("version"))
+        log = self.month_status_log().where(in_months(months)).groupBy("year", "month")
+        last = log.agg(F.max("version").alias("begun"), F.max(done).alias("done"))
+        open_ones = last.where("begun IS NOT NULL AND (done IS NULL OR done < begun)")
+        return {(r.year, r.month) for r in open_ones.collect()}
+
     # ---- shared ----------------------------------------------------------------------
 
     def discard(self, version: str) -> None:
@@ -618,11 +680,11 @@ def latest_month_status(log: DataFrame) -> DataFrame:
 
 
 def _by_month(rows: DataFrame, order: list[str]) -> DataFrame:
-    return (
-        rows.hint("rebalance", "year", "month")
-        .withColumn("month", two_digits(F.col("month")))
-        .sortWithinPartitions("year", "month", *order)
-    )
+    return _sorted_by_month(rows.hint("rebalance", "year", "month"), order)
+
+
+def _sorted_by_month(rows: DataFrame, order: list[str]) -> DataFrame:
+    return rows.withColumn("month", two_digits(F.col("month"))).sortWithinPartitions("year", "month", *order)
 
 
 def _with_partitions(body: T.StructType) -> T.StructType:
