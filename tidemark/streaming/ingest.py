@@ -43,7 +43,9 @@ def stream_ingest(
         run_ingest(
             spark,
             spec,
-            batch,
+            # A landed file is often one row group, which one task reads: what is done to its
+            # rows is spread over all.
+            batch.hint("rebalance"),
             root,
             run_time=origin + timedelta(seconds=batch_id),
             version=version,
