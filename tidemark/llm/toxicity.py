@@ -108,20 +108,29 @@ def grades_from_labels(counts: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return np.where(toxic == 1, 1 + (counts[:, None] > cuts).sum(axis=1), 0)
 
 
-def fit(words: list[Counter[bytes]], toxic: np.ndarray, totals: tuple[int, int]) -> Model:
+def fit(
+    words: list[dict[bytes, int]],
+    toxic: np.ndarray,
+    totals: tuple[int, int],
+    chosen: tuple[list[bytes], np.ndarray] | None = None,
+) -> Model:
     """The model of token counts that are in memory already; ``train`` gives the same without
-    bringing them there."""
+    bringing them there: it gives the ``chosen`` features and the evidence counts of documents,
+    and of the documents these features' counts alone."""
     if len(np.unique(toxic)) < 2:
         return _unlearned(totals)
-    bags = [features(bag) for bag in words]
-    odds = _odds(bags, toxic)
-    evidence = {f for f, (_, o, z) in odds.items() if o >= math.log(EVIDENCE) and z > 3}
-    counts = [sum(n for w, n in bag.items() if not evidence.isdisjoint(features_of(w))) for bag in words]
-    kept = sorted(odds, key=lambda f: (-abs(odds[f][2]), f))[:FEATURES]
+    if chosen is None:
+        bags = [dict(sorted(features(bag).items())) for bag in words]
+        odds = _odds(bags, toxic)
+        evidence = {f for f, (_, o, z) in odds.items() if o >= math.log(EVIDENCE) and z > 3}
+        counts = [sum(n for w, n in bag.items() if not evidence.isdisjoint(features_of(w))) for bag in words]
+        kept = sorted(odds, key=lambda f: (-abs(odds[f][2]), f))[:FEATURES]
+    else:
+        bags, (kept, counts) = words, chosen
     number = {f: i for i, f in enumerate(kept)}
     row, column, value = [], [], []
     for i, bag in enumerate(bags):
-        for feature, n in sorted(bag.items()):
+        for feature, n in bag.items():
             if feature in number:
                 row.append(i)
                 column.append(number[feature])
@@ -221,9 +230,10 @@ def train(
     found = sorted(chosen.select("place", "label", "total").collect())
     totals = {r.label: r.total for r in found}
     toxic = np.array([r.label for r in found], int)
+    both = totals.get(0, 0), totals.get(1, 0)
     if len(totals) < 2:
         scratch.keep_only()
-        return _unlearned((totals.get(0, 0), totals.get(1, 0)))
+        return _unlearned(both)
     words = chosen.select("place", "label", "words", "times").mapInArrow(
         unpack, "place string, label int, word binary, times int"
     )
@@ -254,10 +264,12 @@ def train(
     )
     marked = {r.place: r.times for r in marks.collect()}
     scratch.keep_only()
-    grade = grades_from_labels(np.array([marked.get(r.place, 0) for r in found], np.float64), toxic)
     at = {r.place: i for i, r in enumerate(found)}
-    row = np.array([at[p] for p in entries.column("place").to_pylist()], int)
-    return _descend(kept, grade, (row, entries.column("number").to_numpy(), np.log1p(entries.column("times").to_numpy())))
+    bags: list[dict[bytes, int]] = [{} for _ in found]
+    for batch in entries.to_batches():
+        for place, number, times in zip(*(column.to_pylist() for column in batch.columns)):
+            bags[at[place]][kept[number]] = times
+    return fit(bags, toxic, both, (kept, np.array([marked.get(r.place, 0) for r in found])))
 
 
 def _weighed(named: DataFrame, clean: float, toxic: float) -> DataFrame:
